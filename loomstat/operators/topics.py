@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from loomstat.operators.joins import fits_broadcast, lookup_join
 from loomstat.operators.reshape import mean_and_count
-from loomstat.operators.terms import with_words
+from loomstat.operators.terms import doc_term, limit_terms, tfidf, tokenize, with_words
 from loomstat.session import cut_lineage
 
 # The vocabulary is held by the driver, so its size is bounded and checked.
@@ -291,21 +291,18 @@ def text_clusters_em(
         key, F.col("prediction").alias("cluster"), F.array_max(vector_to_array("probability")).alias("prob")
     )
     sizes = topic_counts(assigned, k, "cluster").withColumnRenamed("topic", "cluster")
-    names = F.broadcast(_vocabulary_table(vectors))
-    long = vectors.rows.select(
-        key, F.explode(F.map_entries(_sparse_map("features"))).alias("e")
-    ).select(key, F.col("e.key").alias("_index"), F.col("e.value").alias("w"))
-    placed = long.join(assigned.select(key, "cluster"), key).groupBy("cluster", "_index").agg(F.sum("w").alias("w"))
-    overall = placed.groupBy("_index").agg(F.sum("w").alias("all_w"))
-    n_docs = sizes.agg(F.sum("n")).scalar()
+    n_docs = docs.count()
+    counts = doc_term(tokenize(docs, key, text, **analysis), key)
+    weights = tfidf(limit_terms(counts, key, n_docs, min_df=min_df), key, n_docs)
+    placed = weights.join(assigned.select(key, "cluster"), key).groupBy("cluster", "term").agg(F.sum("tfidf").alias("w"))
+    overall = placed.groupBy("term").agg(F.sum("w").alias("all_w"))
     lift = (
-        placed.join(F.broadcast(overall), "_index")
+        placed.join(overall, "term")
         .join(F.broadcast(sizes.select("cluster", "n")), "cluster")
-        .select("cluster", "_index", (F.col("w") / F.col("n") - F.col("all_w") / n_docs).alias("lift"))
+        .select("cluster", "term", (F.col("w") / F.col("n") - F.col("all_w") / n_docs).alias("lift"))
     )
-    named = lift.join(names, "_index").select("cluster", "term", "lift")
     place = F.row_number().over(Window.partitionBy("cluster").orderBy(F.desc("lift"), "term"))
-    terms = named.withColumn("place", place).filter(F.col("place") <= n_terms)
+    terms = lift.withColumn("place", place).filter(F.col("place") <= n_terms)
     centres = [g.mean.toArray() for g in model.gaussians]
     pairs = [
         (i, j, float(math.sqrt(((centres[i] - centres[j]) ** 2).sum()))) for i in range(k) for j in range(i + 1, k)
@@ -313,9 +310,3 @@ def text_clusters_em(
     distances = docs.sparkSession.createDataFrame(pairs, "a int, b int, distance double")
     return TextClusters(assigned, sizes, terms, distances)
 
-
-def _sparse_map(column: str) -> Column:
-    """index -> value map of the nonzero entries of an ML vector column."""
-    dense = vector_to_array(F.col(column))
-    filled = F.filter(F.transform(dense, lambda v, i: F.struct(i.alias("key"), v.alias("value"))), lambda e: e["value"] != 0.0)
-    return F.map_from_entries(filled)
