@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 import re
 
 from pyspark.sql import Column
@@ -17,19 +17,25 @@ def word_array(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(WORD_PATTERN), F.lit(0))
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` evaluated once per row, however often
+    ``body`` uses it (projections may be merged, lambda variables are not)."""
+    return F.get(F.transform(F.array(value), lambda v: body(v)), F.lit(0))
+
+
+def _grams_of(words: Column, n: int) -> Column:
+    starts = F.sequence(F.lit(1), F.size(words) - (n - 1))
+    grams = F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
+    return F.when(F.size(words) >= n, grams).otherwise(F.array().cast("array<string>"))
+
+
 def gram_array(words: Column, n_min: int = 1, n_max: int = 2) -> Column:
     """All word n-grams of an array, built inside the row (no shuffle)."""
     if not 1 <= n_min <= n_max:
         raise ValueError("need 1 <= n_min <= n_max")
-    parts = []
-    for n in range(n_min, n_max + 1):
-        if n == 1:
-            parts.append(words)
-            continue
-        starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1)))
-        grams = F.transform(starts, lambda i, n=n: F.array_join(F.slice(words, i, n), " "))
-        parts.append(F.coalesce(grams, F.array().cast("array<string>")))
-    return parts[0] if len(parts) == 1 else F.concat(*parts)
+    if n_max == 1:
+        return words
+    return bind(words, lambda w: F.concat(*[w if n == 1 else _grams_of(w, n) for n in range(n_min, n_max + 1)]))
 
 
 def join_phrases(words: Column, phrases: Iterable[str]) -> Column:
@@ -48,7 +54,7 @@ def join_phrases(words: Column, phrases: Iterable[str]) -> Column:
     pattern = rf"(?<= )(?=(?:{either}) )(\S+) (\S+)"
     padded = F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" "))
     glued = F.trim(F.regexp_replace(padded, pattern, f"$1{PHRASE_MARK}$2"))
-    return F.when(glued == "", F.array().cast("array<string>")).otherwise(F.split(glued, " "))
+    return F.filter(F.split(glued, " "), lambda w: w != "")
 
 
 def recode_words(words: Column, single: Mapping[str, str]) -> Column:

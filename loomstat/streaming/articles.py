@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -52,18 +52,22 @@ def incremental_articles(
     )
 
 
-def row_sentiment(text, lexicon: Mapping[str, float]):
-    """(n_words, sentiment) of one text as expressions, without leaving the
-    row, so a stream needs no aggregate before the grouping one.
+def row_sentiment(text: Column, lexicon: Mapping[str, float]) -> Column:
+    """Struct (n_words, sentiment) of one text, computed inside the row, so a
+    stream needs no aggregate before the grouping one.
 
     Hits are found by set membership first; only they look up the map.
     """
     entries = sorted((t.lower(), float(s)) for t, s in lexicon.items())
+    listed = [t for t, _ in entries]
     table = F.create_map(*[F.lit(x) for kv in entries for x in kv])
-    hits = F.filter(words.word_array(text), lambda w: w.isin([t for t, _ in entries]))
-    total = F.aggregate(hits, F.lit(0.0), lambda acc, w: acc + F.element_at(table, w))
-    n = F.size(hits)
-    return n, F.when(n > 0, total / n).otherwise(F.lit(0.0))
+
+    def score(hits: Column) -> Column:
+        total = F.aggregate(hits, F.lit(0.0), lambda acc, w: acc + F.element_at(table, w))
+        mean = F.when(F.size(hits) > 0, total / F.size(hits)).otherwise(F.lit(0.0))
+        return F.struct(F.size(hits).cast("bigint").alias("n_words"), mean.alias("sentiment"))
+
+    return words.bind(F.filter(words.word_array(text), lambda w: w.isin(listed)), score)
 
 
 def running_group_sentiment(
@@ -75,9 +79,9 @@ def running_group_sentiment(
     repeated batch overwrites itself instead of counting twice.
     """
     stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-    n, score = row_sentiment(F.col(text), lexicon)
+    scored = stream.select(F.col(group), row_sentiment(F.col(text), lexicon).alias("r"))
     running = (
-        stream.select(F.col(group), score.alias("s"), n.cast("bigint").alias("w"))
+        scored.select(group, F.col("r.sentiment").alias("s"), F.col("r.n_words").alias("w"))
         .groupBy(group)
         .agg(F.sum("s").alias("_s"), F.count(F.lit(1)).alias("n_docs"), F.sum("w").alias("n_words"))
         .select(group, (F.col("_s") / F.col("n_docs")).alias("mean_sentiment"), "n_docs", "n_words")
