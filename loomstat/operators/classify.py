@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 import math
 
 from pyspark.ml import Model
@@ -14,7 +15,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomstat.functions import probability
+from loomstat.operators.evaluate import together
 from loomstat.operators.linear import info_criteria
+from loomstat.operators.reshape import union_all
 
 # Inverse penalties and depths that are swept.
 PENALTIES = [1e-4, 1e-3, 1e-2, 1e-1, 1.0, 5.0, 10.0, 50.0, math.inf]
@@ -63,12 +66,17 @@ def logit_summary(spark, model, n: int, p: int, max_iter: int = 35) -> DataFrame
     )
 
 
-def logit_l2(c: float, n: int, family: str = "auto", max_iter: int = 200) -> LogisticRegression:
+def logit_l2(c: float, n: int, family: str = "auto", max_iter: int = 100) -> LogisticRegression:
     """L2-penalised logit in the inverse-penalty form: ``C * sum(loss) + |w|^2/2``.
-    ``C = inf`` means no penalty. ``n`` is the number of training rows."""
-    reg = 0.0 if math.isinf(c) else 1.0 / (c * n)
+    ``C = inf`` means no penalty. ``n`` is the number of training rows.
+
+    The penalty is on the coefficients of the columns as given; without one
+    standardising only helps the solver and leaves the solution alone.
+    """
+    free = math.isinf(c)
     return LogisticRegression(
-        regParam=reg, elasticNetParam=0.0, standardization=False, family=family, maxIter=max_iter, tol=1e-8
+        regParam=0.0 if free else 1.0 / (c * n), elasticNetParam=0.0, standardization=free, family=family,
+        maxIter=max_iter, tol=1e-6,
     )
 
 
@@ -118,12 +126,13 @@ def vote_accuracy(voted: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def cross_validated_vote(df: DataFrame, makers: dict, k: int, fold: str = "fold", keep: Sequence[str] = ()) -> DataFrame:
     """Mean and spread over folds of the accuracy of each member and the vote."""
-    parts = None
-    for i in range(k):
+
+    def one(i: int) -> DataFrame:
         train = df.filter(F.col(fold) != i)
         models = {name: make().fit(train) for name, make in makers.items()}
-        scored = soft_vote(df.filter(F.col(fold) == i), models, [fold, *keep])
-        parts = scored if parts is None else parts.unionByName(scored)
+        return soft_vote(df.filter(F.col(fold) == i), models, [fold, *keep])
+
+    parts = union_all(*together([partial(one, i) for i in range(k)]))
     per_fold = vote_accuracy(parts, [fold])
     return per_fold.groupBy("member").agg(
         F.avg("accuracy").alias("accuracy_mean"), F.stddev_pop("accuracy").alias("accuracy_std")

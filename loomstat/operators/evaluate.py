@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
@@ -131,53 +132,59 @@ def macro_scores(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Accuracy and the unweighted class means of precision, recall and F1;
     an undefined class value counts as 0."""
     row = F.array(
-        F.struct(F.col("label").alias("c"), F.lit(1).alias("is_label")),
-        F.struct(F.col("prediction").alias("c"), F.lit(0).alias("is_label")),
+        F.struct(F.col("label").alias("_class"), F.lit(1).alias("_side")),
+        F.struct(F.col("prediction").alias("_class"), F.lit(0).alias("_side")),
     )
     sides = cells.withColumn("_hit", F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)).select(
         *by, "n", "_hit", F.inline(row)
     )
-    classes = sides.groupBy(*by, "c").agg(
-        F.sum(F.when(F.col("is_label") == 1, F.col("_hit")).otherwise(0)).alias("tp"),
-        F.sum(F.when(F.col("is_label") == 1, F.col("n")).otherwise(0)).alias("actual"),
-        F.sum(F.when(F.col("is_label") == 0, F.col("n")).otherwise(0)).alias("called"),
+    classes = sides.groupBy(*by, "_class").agg(
+        F.sum(F.when(F.col("_side") == 1, F.col("_hit")).otherwise(0)).alias("_tp"),
+        F.sum(F.when(F.col("_side") == 1, F.col("n")).otherwise(0)).alias("_actual"),
+        F.sum(F.when(F.col("_side") == 0, F.col("n")).otherwise(0)).alias("_called"),
     )
     zero = F.lit(0.0)
     per_class = classes.select(
         *by,
-        "tp",
-        "actual",
-        F.coalesce(_share(F.col("tp"), F.col("called")), zero).alias("p"),
-        F.coalesce(_share(F.col("tp"), F.col("actual")), zero).alias("r"),
-        F.coalesce(_share(2.0 * F.col("tp"), F.col("called") + F.col("actual")), zero).alias("f"),
+        "_tp",
+        "_actual",
+        F.coalesce(_share(F.col("_tp"), F.col("_called")), zero).alias("_p"),
+        F.coalesce(_share(F.col("_tp"), F.col("_actual")), zero).alias("_r"),
+        F.coalesce(_share(2.0 * F.col("_tp"), F.col("_called") + F.col("_actual")), zero).alias("_f"),
     )
     return per_class.groupBy(*by).agg(
-        (F.sum("tp") / F.sum("actual")).alias("accuracy"),
-        F.avg("p").alias("precision_macro"),
-        F.avg("r").alias("recall_macro"),
-        F.avg("f").alias("f1_macro"),
+        (F.sum("_tp") / F.sum("_actual")).alias("accuracy"),
+        F.avg("_p").alias("precision_macro"),
+        F.avg("_r").alias("recall_macro"),
+        F.avg("_f").alias("f1_macro"),
     )
 
 
 SCORES = ("accuracy", "precision_macro", "recall_macro", "f1_macro")
 
 
-def fold_predictions(
-    df: DataFrame, make: Callable[[], object], k: int, fold: str = "fold", label: str = "label", threads: int = 4
-) -> DataFrame:
-    """Out-of-fold predictions of a freshly made estimator. Fits of different
-    folds are submitted together, so the cluster is not idle between them."""
+# Model fits submitted at the same time; the scheduler interleaves their jobs.
+FIT_THREADS = 8
+
+
+def _fold_prediction(df: DataFrame, make: Callable[[], object], i: int, fold: str, label: str) -> DataFrame:
+    model = make().fit(df.filter(F.col(fold) != i))
+    return model.transform(df.filter(F.col(fold) == i)).select(
+        F.col(fold).cast("bigint").alias("fold"),
+        F.col(label).cast("double").alias("label"),
+        F.col("prediction").cast("double").alias("prediction"),
+    )
+
+
+def together(tasks: Sequence[Callable[[], object]], threads: int = FIT_THREADS) -> list:
+    """Run independent fits side by side, so the cluster is not idle between them."""
+    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(tasks)))) as pool:
+        return [f.result() for f in [pool.submit(t) for t in tasks]]
 
-    def one(i: int) -> DataFrame:
-        model = make().fit(df.filter(F.col(fold) != i))
-        return model.transform(df.filter(F.col(fold) == i)).select(
-            F.col(fold).cast("bigint").alias("fold"),
-            F.col(label).cast("double").alias("label"),
-            F.col("prediction").cast("double").alias("prediction"),
-        )
 
-    with ThreadPoolExecutor(max_workers=min(threads, k)) as pool:
-        return union_all(*pool.map(one, range(k)))
+def fold_predictions(df: DataFrame, make: Callable[[], object], k: int, fold: str = "fold", label: str = "label") -> DataFrame:
+    """Out-of-fold predictions of a freshly made estimator."""
+    return union_all(*together([partial(_fold_prediction, df, make, i, fold, label) for i in range(k)]))
 
 
 def cross_validate(df: DataFrame, make: Callable[[], object], k: int = 5, fold: str = "fold", label: str = "label") -> DataFrame:
@@ -202,10 +209,14 @@ def sweep(
     """Cross-validate one estimator per setting. All out-of-fold predictions
     form one table, so every score comes from a single aggregate. The best
     mean F1-macro is flagged, the first on ties."""
-    tagged = []
-    for position, (value, make) in enumerate(settings.items()):
-        rows = fold_predictions(df, make, k, fold, label)
-        tagged.append(rows.select(F.lit(position).alias("position"), F.lit(str(value)).alias(name), "*"))
+    makers = list(settings.values())
+    jobs = [(position, i) for position in range(len(makers)) for i in range(k)]
+    parts = together([partial(_fold_prediction, df, makers[position], i, fold, label) for position, i in jobs])
+    named = [str(value) for value in settings]
+    tagged = [
+        rows.select(F.lit(position).alias("position"), F.lit(named[position]).alias(name), "*")
+        for (position, _), rows in zip(jobs, parts)
+    ]
     cells = confusion(union_all(*tagged), by=["position", name, "fold"])
     per_fold = macro_scores(cells, ["position", name, "fold"])
     table = per_fold.groupBy("position", name).agg(

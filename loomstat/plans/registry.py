@@ -1,6 +1,14 @@
 """All registered queries."""
 
-from loomstat.plans import clean_queries, report_queries, table_queries, text_queries  # noqa: F401
+from loomstat.plans import (  # noqa: F401
+    clean_queries,
+    model_queries,
+    report_queries,
+    stream_queries,
+    table_queries,
+    text_queries,
+    topic_queries,
+)
 from loomstat.plans.catalog import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
