@@ -53,11 +53,12 @@ def check_map(df: DataFrame, amap: AttributeMap) -> None:
 
 
 def _known(column: str, attr: Attr) -> Column:
-    """True where the value is present and inside its domain."""
+    """True where the value is inside its domain; false or null elsewhere.
+
+    NaN sorts above every number in Spark, so it is outside any interval.
+    """
     c = F.col(column)
-    if attr.role == "interval":
-        return ~F.isnan(c.cast("double")) & c.between(*attr.domain)
-    return c.isin(list(attr.domain))
+    return c.between(*attr.domain) if attr.role == "interval" else c.isin(list(attr.domain))
 
 
 def _absent(column: str, attr: Attr) -> Column:
@@ -167,20 +168,35 @@ def level_name(column: str, index: int, level) -> str:
     return f"{column}{index}:{level}" if isinstance(level, str) else f"{column}{level}"
 
 
-def one_hot(value: Column, column: str, attr: Attr, drop: bool = True) -> list[Column]:
+def _flag(condition: Column) -> Column:
+    """1.0 where true, 0.0 where false or null."""
+    return F.when(condition, 1.0).otherwise(0.0)
+
+
+def _is_level(column: str, attr: Attr, level, fill=None) -> Column:
+    """0/1 for one level. Without ``fill`` unknown values are missing; with it
+    they count as the level ``fill``.
+
+    Written per level and as short as possible: a wide one-hot projection has
+    to stay small enough for the JVM to compile.
+    """
+    c = F.col(column)
+    if fill is None:
+        return F.when(_known(column, attr), _flag(c == F.lit(level)))
+    if level != fill:
+        return _flag(c == F.lit(level))
+    others = [v for v in attr.domain if v != level]
+    return F.when(c.isin(others), 0.0).otherwise(1.0) if others else F.lit(1.0)
+
+
+def one_hot(column: str, attr: Attr, drop: bool = True, fill=None) -> list[Column]:
     """0/1 columns from the declared levels; ``drop`` leaves out the last level."""
     chosen = list(enumerate(attr.domain))
     return [
-        F.when(value.isNull(), F.lit(None)).otherwise((value == F.lit(v)).cast("double")).alias(level_name(column, i, v))
-        for i, v in (chosen[:-1] if drop else chosen)
+        _is_level(column, attr, v, fill).alias(level_name(column, i, v)) for i, v in (chosen[:-1] if drop else chosen)
     ]
 
 
-def encode_binary(value: Column, attr: Attr) -> Column:
-    """First listed level -> 0, second -> 1, anything else missing."""
-    return F.when(value == F.lit(attr.domain[1]), 1.0).when(value == F.lit(attr.domain[0]), 0.0)
-
-
 class TableCleaner:
     """Outlier removal, imputation, scaling and encoding, learnt once and
     applied to any table with the same columns.
@@ -217,20 +233,20 @@ class TableCleaner:
         for c, attr in self.amap.items():
             if not _checked(attr):
                 continue
-            value = F.when(_known(c, attr), F.col(c))
-            untouched = c in self.no_impute
-            if not untouched:
-                value = F.coalesce(value, F.lit(stats.fill[c]))
+            fill = None if c in self.no_impute else stats.fill[c]
             if attr.role == "interval":
-                if self.interval_scale == "std" and not untouched and stats.spread[c] > 0:
-                    value = (value - F.lit(stats.centre[c])) / F.lit(stats.spread[c])
-                out.append(value.cast("double").alias(c))
-            elif attr.role == "binary":
-                out.append(encode_binary(value, attr).alias(c))
-            elif untouched:
+                value = F.when(_known(c, attr), F.col(c).cast("double"))
+                if fill is not None:
+                    value = value.otherwise(F.lit(float(fill)))
+                    if self.interval_scale == "std" and stats.spread[c] > 0:
+                        value = (value - F.lit(stats.centre[c])) / F.lit(stats.spread[c])
                 out.append(value.alias(c))
+            elif attr.role == "binary":
+                out.append(_is_level(c, attr, attr.domain[1], fill).alias(c))
+            elif fill is None:
+                out.append(F.when(_known(c, attr), F.col(c)).alias(c))
             else:
-                out += one_hot(value, c, attr, self.drop)
+                out += one_hot(c, attr, self.drop, fill)
         return out
 
     def transform(self, df: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 # Up to this many columns the products are plain SQL sums in one generated
 # aggregate; wider designs use one matrix product per Arrow batch.
-SQL_WIDTH = 12
+SQL_WIDTH = 8
 # Rows looked at to pick a numerical origin. The result does not depend on it.
 ORIGIN_ROWS = 1000
 
@@ -71,7 +71,7 @@ class Gram:
 
 
 def _origin(data: DataFrame, columns: Sequence[str]) -> np.ndarray:
-    row = data.limit(ORIGIN_ROWS).agg(*[F.avg(c) for c in columns]).first()
+    row = data.limit(ORIGIN_ROWS).agg(*[F.avg(F.nanvl(c, F.lit(None))) for c in columns]).first()
     return np.array([v if v is not None else 0.0 for v in row], dtype=float)
 
 
@@ -79,7 +79,7 @@ def _by_sums(data: DataFrame, columns: Sequence[str], origin: np.ndarray) -> dic
     terms = [F.lit(1.0)] + [F.col(c) - F.lit(float(o)) for c, o in zip(columns, origin)]
     size = len(terms)
     cells = [(i, j) for i in range(size) for j in range(i, size)]
-    rows = data.groupBy("_split").agg(*[F.sum(terms[i] * terms[j]).alias(f"c{i}_{j}") for i, j in cells]).collect()
+    rows = data.dropna().groupBy("_split").agg(*[F.sum(terms[i] * terms[j]).alias(f"c{i}_{j}") for i, j in cells]).collect()
     out = {}
     for row in rows:
         matrix = np.zeros((size, size))
@@ -98,12 +98,14 @@ def _by_batches(data: DataFrame, columns: Sequence[str], origin: np.ndarray) ->
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            labels = np.array(batch.column(0).to_pylist(), dtype=object)
+            coded = batch.column(0).dictionary_encode()
+            codes = coded.indices.to_numpy(zero_copy_only=False)
             design = np.ones((batch.num_rows, size))
             for k in range(1, size):
                 design[:, k] = batch.column(k).to_numpy(zero_copy_only=False) - origin[k - 1]
-            for label in set(labels):
-                rows = design[labels == label]
+            complete = ~np.isnan(design).any(axis=1)
+            for code, label in enumerate(coded.dictionary.to_pylist()):
+                rows = design[complete & (codes == code)]
                 total[label] = total.get(label, 0.0) + rows.T @ rows
         if total:
             yield pa.RecordBatch.from_arrays(
@@ -138,7 +140,7 @@ def grams(df: DataFrame, xs: Sequence[str], y: str, split: str | None = None) ->
     data = df.select(
         F.coalesce(label, F.lit("")).alias("_split"),
         *[F.col(f"`{c}`").cast("double").alias(a) for c, a in zip(columns, names)],
-    ).dropna()
+    )
     origin = _origin(data, names)
     build = _by_sums if len(columns) <= SQL_WIDTH else _by_batches
     return {s: Gram(list(xs), y, origin, m) for s, m in build(data, names, origin).items()}
