@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from loomstat.functions import html, urls, words
 from loomstat.operators.reshape import dedup, map_values, union_all
+from loomstat.sources.tables import spread_rows
 
 
 def agency_from_url(
@@ -51,7 +52,8 @@ def rates_per_thousand(df: DataFrame, counts: Sequence[str], length: str, suffix
 
 def articles_from_pages(pages: DataFrame, url: str = "url", markup: str = "html", keep: Sequence[str] = (), **agency) -> DataFrame:
     """Page rows (url, html) to article rows (agency, url, text, length)."""
-    plain = pages.select(*keep, F.col(url).alias("url"), html.page_text(F.col(markup)).alias("text"))
+    rows = spread_rows(pages.select(*keep, url, markup), url)
+    plain = rows.select(*keep, F.col(url).alias("url"), html.page_text(F.col(markup)).alias("text"))
     return agency_from_url(plain.withColumn("length", F.length("text").cast("bigint")), **agency).select(
         *keep, "agency", "url", "text", "length"
     )

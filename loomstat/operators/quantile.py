@@ -92,10 +92,14 @@ def with_range_bucket(df: DataFrame, column: str, buckets: int = 256, out: str =
     Bucket numbers rise with the value, so work that needs a global order can
     run per bucket and be stitched at the edges.
     """
+    if buckets < 2:
+        return df.withColumn(out, F.lit(0))
     cuts = df.agg(
         F.percentile_approx(F.col(column).cast("double"), [i / buckets for i in range(1, buckets)], 10 * buckets)
     ).first()[0]
     inner = sorted(set(cuts or []))
+    if not inner:
+        return df.withColumn(out, F.lit(0))
     splits = [float("-inf"), *inner, float("inf")]
     name = f"_{column}_d"
     placed = Bucketizer(splits=splits, inputCol=name, outputCol=out).transform(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from loomstat.operators.joins import BROADCAST_ROWS, lookup_join
 from loomstat.operators.terms import with_words
+from loomstat.sources.tables import spread_rows
 
 
 def sentiment_scores(
@@ -32,7 +33,7 @@ def sentiment_scores(
         table = docs.sparkSession.createDataFrame(rows, "_entry string, score double")
     else:
         table = lexicon.toDF("_entry", "score")
-    prepared = with_words(docs.select(key, *carry, text), text, "_words", n_max=n_max, **analysis)
+    prepared = with_words(spread_rows(docs.select(key, *carry, text), key), text, "_words", n_max=n_max, **analysis)
     terms = prepared.select(key, *carry, F.explode_outer("_words").alias("term"))
     found = lookup_join(terms, table, "term", bounded=literal and len(lexicon) <= BROADCAST_ROWS)
     hits, total = F.count("score"), F.sum("score")

@@ -16,10 +16,11 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from loomstat.functions import words
-from loomstat.operators.joins import BROADCAST_ROWS, SALTS, fits_broadcast, lookup_join
+from loomstat.operators.joins import BROADCAST_ROWS, SALTS, lookup_join
+from loomstat.sources.tables import spread_rows
 
-# The most frequent terms, whose join keys are salted when statistics are shuffled.
-HOT_TERMS = 4096
+# A term in at least one in this many documents has its join key salted.
+HOT_PART = 64
 
 
 def with_words(
@@ -54,14 +55,17 @@ def with_words(
 
 def tokenize(df: DataFrame, key: str, text: str = "text", carry: Sequence[str] = (), **analysis) -> DataFrame:
     """One row per word: (key, pos, term)."""
-    prepared = with_words(df.select(key, *carry, text), text, "_words", **analysis)
-    return prepared.select(key, *carry, F.posexplode("_words").alias("pos", "term"))
+    prepared = with_words(spread_rows(df.select(key, *carry, text), key), text, "_words", **analysis)
+    # The outer form keeps the optimizer from adding a "has words" filter, which
+    # would analyse every text a second time below the spread.
+    exploded = prepared.select(key, *carry, F.posexplode_outer("_words").alias("pos", "term"))
+    return exploded.filter(F.col("term").isNotNull())
 
 
 def ngrams(df: DataFrame, key: str, text: str = "text", n_min: int = 1, n_max: int = 2, **analysis) -> DataFrame:
     """One row per n-gram occurrence: (key, term)."""
-    prepared = with_words(df.select(key, text), text, "_words", n_min=n_min, n_max=n_max, **analysis)
-    return prepared.select(key, F.explode("_words").alias("term"))
+    prepared = with_words(spread_rows(df.select(key, text), key), text, "_words", n_min=n_min, n_max=n_max, **analysis)
+    return prepared.select(key, F.explode_outer("_words").alias("term")).filter(F.col("term").isNotNull())
 
 
 def recode_terms(tokens: DataFrame, mapping: Mapping[str, str] | DataFrame, term: str = "term") -> DataFrame:
@@ -105,23 +109,22 @@ def term_stats(counts: DataFrame) -> DataFrame:
     return counts.groupBy("term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
 
 
-def join_term_stats(counts: DataFrame, stats: DataFrame, key: str, weight: str = "df") -> DataFrame:
+def join_term_stats(counts: DataFrame, stats: DataFrame, key: str, n_docs: int) -> DataFrame:
     """Add per-term statistics to the (key, term, tf) table.
 
-    Small statistics are broadcast after counting them. Otherwise the few
-    most frequent terms (a bounded list) are spread over salted keys, so a
-    term found in every document does not end in one task.
+    A term found in at least one in ``HOT_PART`` documents has its rows spread
+    over salted keys, so "the" does not end in one task. There are at most
+    ``HOT_PART`` times the mean number of distinct words of a document such
+    terms, which bounds the broadcast list of them. Counts and statistics
+    share one shuffle of the words; adaptive execution turns the join into a
+    broadcast when the measured statistics are small.
     """
-    if fits_broadcast(stats):
-        return counts.join(F.broadcast(stats), "term")
-    hot = F.broadcast(
-        stats.orderBy(F.desc(weight), "term").limit(HOT_TERMS).select("term", F.lit(True).alias("_hot"))
-    )
+    frequent = F.col("df") >= max(n_docs // HOT_PART, 2)
+    hot = F.broadcast(stats.filter(frequent).select("term", F.lit(True).alias("_hot")))
     salt = F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int")
     left = counts.join(hot, "term", "left").withColumn("_s", F.when(F.col("_hot"), salt).otherwise(0)).drop("_hot")
-    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    right = stats.join(hot, "term", "left").withColumn("_s", F.explode(salts)).drop("_hot")
-    return left.join(right, ["term", "_s"]).drop("_s")
+    salts = F.when(frequent, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return left.join(stats.withColumn("_s", F.explode(salts)), ["term", "_s"]).drop("_s")
 
 
 def limit_terms(
@@ -131,7 +134,7 @@ def limit_terms(
     documents; adds ``total`` and ``df``."""
     low, high = _limit(min_df, n_docs, False), _limit(max_df, n_docs, True)
     stats = term_stats(counts).filter(F.col("df").between(low, high))
-    return join_term_stats(counts, stats, key)
+    return join_term_stats(counts, stats, key, n_docs)
 
 
 def doc_term_vocab(tokens: DataFrame, vocabulary: Iterable[str] | DataFrame, key: str) -> DataFrame:
@@ -149,7 +152,7 @@ def idf(df: str, n_docs: int):
 
 def tfidf(counts: DataFrame, key: str, n_docs: int) -> DataFrame:
     """Weight of each (document, term): tf times the smoothed idf, not normalised."""
-    joined = counts if "df" in counts.columns else join_term_stats(counts, term_stats(counts), key)
+    joined = counts if "df" in counts.columns else join_term_stats(counts, term_stats(counts), key, n_docs)
     return joined.select(key, "term", "tf", "df", (F.col("tf") * idf("df", n_docs)).alias("tfidf"))
 
 

@@ -20,6 +20,7 @@ from loomstat.operators.joins import fits_broadcast, lookup_join
 from loomstat.operators.reshape import mean_and_count
 from loomstat.operators.terms import doc_term, limit_terms, tfidf, tokenize, with_words
 from loomstat.session import cut_lineage
+from loomstat.sources.tables import spread_rows
 
 # The vocabulary is held by the driver, so its size is bounded and checked.
 VOCABULARY_LIMIT = 1 << 18
@@ -48,7 +49,7 @@ def doc_vectors(
     Counting and weighting use the ML feature transformers; the missing +1 of
     the library's IDF is added by scaling with our own weight vector.
     """
-    words = with_words(docs.select(key, text), text, "_words", **analysis).select(key, "_words")
+    words = with_words(spread_rows(docs.select(key, text), key), text, "_words", **analysis).select(key, "_words")
     counter = CountVectorizer(
         inputCol="_words", outputCol="_tf", minDF=float(min_df), maxDF=float(max_df) if max_df > 1 else 2.0**62,
         vocabSize=VOCABULARY_LIMIT,

@@ -11,6 +11,7 @@ from loomstat.operators.gram import gram, gram_table, grams
 from loomstat.operators.logistic import LogitBatch
 from loomstat.plans.catalog import query, rounded, table
 from loomstat.plans.clean_queries import HASH_SQL, KEYS, line_key
+from loomstat.sources.tables import spread_rows
 
 X = ["l_quantity", "l_discount", "l_tax"]
 Y = "l_extendedprice"
@@ -420,7 +421,8 @@ DOC_X = ["n_chars", "n_words", "mean_word", "distinct_ratio", "punct_rate"]
 
 def doc_features(spark, d):
     """Per labelled document simple measures of its whole text; label = quality."""
-    docs = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id")
+    labelled = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id")
+    docs = spread_rows(labelled.select("doc_id", "quality", "text", "n_chars"), "doc_id")
     words = docs.select("doc_id", "quality", "text", F.col("n_chars").cast("double").alias("n_chars"), word_array(F.col("text")).alias("w"))
     n = F.size("w").cast("double")
     return words.select(

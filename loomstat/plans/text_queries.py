@@ -133,7 +133,7 @@ def t9_common_terms(spark, d):
         SELECT rank, term, total, round(ln(rank), 6) AS log_rank, round(ln(total), 6) AS log_total FROM k"""
 )
 def t10_zipf_table(spark, d):
-    totals = terms.term_stats(_counts(spark, d))
+    totals = terms.term_stats(_counts(spark, d)).persist()
     return rounded(terms.zipf_table(totals))
 
 

@@ -24,6 +24,19 @@ def scan_columns(spark: SparkSession, path: str, columns: Sequence[str], **kwarg
     return scan_table(spark, path, **kwargs).select(*columns)
 
 
+def spread_rows(df: DataFrame, *key: str) -> DataFrame:
+    """Deal the rows of a narrow scan over all cores by their key.
+
+    A small file with a single row group is read by one task, and row-heavy
+    work behind it (tokenising, markup removal) would stay in that task. An
+    input that already has as many splits as there are cores is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming or df.rdd.getNumPartitions() * 2 > cores:
+        return df
+    return df.repartition(cores, *key)
+
+
 def scan_headerless_csv(spark: SparkSession, path: str, columns: Sequence[tuple[str, str]], **options) -> DataFrame:
     """CSV without a header row; ``columns`` gives (name, type) in file order."""
     schema = ", ".join(f"`{name}` {kind}" for name, kind in columns)
