@@ -38,7 +38,7 @@ def kfold(
     stratify: str | None = None,
     seed: int = 0,
     out: str = "fold",
-    buckets: int = 1024,
+    buckets: int = 8192,
 ) -> DataFrame:
     """Assign folds 0..k-1. With ``stratify`` every class is dealt out evenly:
     its fold sizes differ by at most one.

@@ -233,13 +233,20 @@ def _chebyshev_normal(n: int, skew: float, kurt: float) -> tuple[float, float]:
     return k2, probability.chi2_upper(k2, 2)
 
 
-def durbin_watson(df: DataFrame, residual: str, order: str, buckets: int = 256) -> DataFrame:
+# Rows per ordered range when neighbours are compared, and most ranges used.
+RANGE_ROWS = 1_000_000
+MAX_RANGES = 10_000
+
+
+def durbin_watson(df: DataFrame, residual: str, order: str, buckets: int | None = None) -> DataFrame:
     """Sum of squared steps between neighbours over the sum of squares.
 
     ``order`` must be a unique number. Rows are cut into equal-depth ranges of
     it; steps inside a range use a window per range, and the steps across
     ranges come from the first and last row of each.
     """
+    if buckets is None:
+        buckets = max(1, min(df.count() // RANGE_ROWS + 1, MAX_RANGES))
     rows = with_range_bucket(df.select(F.col(order).alias("_o"), F.col(residual).alias("_e")).dropna(), "_o", buckets)
     previous = F.lag("_e").over(Window.partitionBy("bucket").orderBy("_o"))
     inside = rows.withColumn("_step", F.col("_e") - previous)
@@ -274,7 +281,7 @@ def residual_shape(df: DataFrame, residual: str, order: str, g: Gram | None = No
         [(n, skew, kurt, jb, probability.chi2_upper(jb, 2), k2, k2_p, cond)],
         "n bigint, skew double, kurtosis double, jarque_bera double, jb_p double, omnibus double, omnibus_p double, cond double",
     )
-    return shape.withColumn("durbin_watson", durbin_watson(df, residual, order).scalar())
+    return shape.withColumn("durbin_watson", durbin_watson(df, residual, order, max(1, min(n // RANGE_ROWS + 1, MAX_RANGES))).scalar())
 
 
 def shrunken_coefficients(

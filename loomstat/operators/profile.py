@@ -100,14 +100,15 @@ def bottom_n(df: DataFrame, column: str, key: Sequence[str], n: int) -> DataFram
 def split_top(df: DataFrame, column: str, key: Sequence[str], n: int, out: str = "in_top") -> DataFrame:
     """Every row, flagged whether it belongs to the largest ``n``.
 
-    ``key`` must be unique. The n-th row is found first and then compared
-    against, so "the rest" needs no ranking of the whole table.
+    ``key`` must be unique. The n-th row (of a short report list) is looked up
+    first and the rest compared against it, so the table is never ranked.
     """
-    fields = [column, *key]
-    last = top_n(df.select(*fields), column, key, n)
-    cut = last.agg(F.min(column)).scalar()
-    ties = last.filter(F.col(column) == cut).agg(F.max(F.struct(*key))).scalar()
-    inside = (F.col(column) > cut) | ((F.col(column) == cut) & (F.struct(*key) <= ties))
+    last = top_n(df.select(column, *key), column, key, n).collect()
+    if not last:
+        return df.withColumn(out, F.lit(False))
+    edge = last[-1]
+    tie = F.struct(*[F.col(k) for k in key]) <= F.struct(*[F.lit(edge[k]).alias(k) for k in key])
+    inside = (F.col(column) > F.lit(edge[column])) | ((F.col(column) == F.lit(edge[column])) & tie)
     return df.withColumn(out, F.coalesce(inside, F.lit(False)))
 
 

@@ -96,7 +96,7 @@ def mean_and_count(df: DataFrame, key: Sequence[str], columns: Sequence[str]) ->
     grouped = df.groupBy(*key).agg(
         *[F.avg(c).alias(f"mean_{c}") for c in columns], F.count(F.lit(1)).alias("n")
     )
-    total = df.agg(F.count(F.lit(1))).scalar()
+    total = grouped.agg(F.sum("n")).scalar()
     return grouped.withColumn("pct", 100.0 * F.col("n") / total)
 
 

@@ -11,7 +11,7 @@ from loomstat.operators.gram import gram, gram_table, grams
 from loomstat.operators.logistic import LogitBatch
 from loomstat.plans.catalog import query, rounded, table
 from loomstat.plans.clean_queries import HASH_SQL, KEYS, line_key
-from loomstat.sources.tables import spread_rows
+from loomstat.sources.tables import keep_packed, spread_rows
 
 X = ["l_quantity", "l_discount", "l_tax"]
 Y = "l_extendedprice"
@@ -437,27 +437,30 @@ def doc_features(spark, d):
 
 
 def _assembled(spark, d, k=5):
-    rows = classify.assemble(doc_features(spark, d), DOC_X, "label", ["doc_id"])
-    return evaluate.kfold(rows, "doc_id", k, stratify="label").persist()
+    """Standardised feature vectors with stratified folds."""
+    amap = {"label": Attr("interval", (0.0, 1.0)), **{x: Attr("interval", (-1e9, 1e9)) for x in DOC_X}}
+    features = doc_features(spark, d).persist()
+    scaled = clean.TableCleaner(amap, no_impute=["label"], interval_scale="std", keep=["doc_id"]).fit_transform(features)
+    rows = classify.assemble(scaled, DOC_X, "label", ["doc_id"])
+    return keep_packed(evaluate.kfold(rows, "doc_id", k, stratify="label"))
 
 
 @query()
 def m6_logit(spark, d):
-    rows = doc_features(spark, d).persist()
+    rows, _ = keep_packed(doc_features(spark, d))
     return classify.logit_coefficients(spark, classify.logit(rows, "label", DOC_X), DOC_X)
 
 
 @query()
 def m6_logit_summary(spark, d):
-    rows = doc_features(spark, d).persist()
-    return classify.logit_summary(spark, classify.logit(rows, "label", DOC_X), rows.count(), len(DOC_X))
+    rows, n = keep_packed(doc_features(spark, d))
+    return classify.logit_summary(spark, classify.logit(rows, "label", DOC_X), n, len(DOC_X))
 
 
 @query()
 def m7_logit_l2_sweep(spark, d):
     """Penalty sweep scored by cross-validation; best mean F1-macro flagged."""
-    rows = _assembled(spark, d)
-    n = rows.count()
+    rows, n = _assembled(spark, d)
     settings = {c: (lambda c=c: classify.logit_l2(c, n * 4 // 5)) for c in classify.PENALTIES}
     return evaluate.sweep(rows, "C", settings, 5)
 
@@ -469,53 +472,52 @@ def m7_multinomial_logit(spark, d):
 
     rows = table(spark, d, "embeddings").select(
         "vec_id", F.col("label").cast("double").alias("label"), array_to_vector(F.col("embedding").cast("array<double>")).alias("features")
-    ).persist()
-    model = classify.logit_l2(1.0, rows.count(), family="multinomial", max_iter=50).fit(rows)
+    )
+    rows, n = keep_packed(rows)
+    model = classify.logit_l2(1.0, n, family="multinomial", max_iter=50).fit(rows)
     return evaluate.confusion(model.transform(rows))
 
 
 @query()
 def m16_cross_validate(spark, d):
-    rows = _assembled(spark, d, 10)
-    n = rows.count() * 9 // 10
-    return evaluate.cross_validate(rows, lambda: classify.logit_l2(1.0, n), 10)
+    rows, n = _assembled(spark, d, 10)
+    return evaluate.cross_validate(rows, lambda: classify.logit_l2(1.0, n * 9 // 10), 10)
 
 
 @query()
 def m17_tree_depth_sweep(spark, d):
     settings = {depth: (lambda depth=depth: classify.decision_tree(depth)) for depth in classify.TREE_DEPTHS[:5]}
-    return evaluate.sweep(_assembled(spark, d), "depth", settings, 5)
+    return evaluate.sweep(_assembled(spark, d)[0], "depth", settings, 5)
 
 
 @query()
 def m18_decision_tree(spark, d):
     """Depth-6 tree: confusion counts per split."""
-    rows = evaluate.split_train_valid(_assembled(spark, d), "doc_id")
+    rows = evaluate.split_train_valid(_assembled(spark, d)[0], "doc_id")
     model = classify.decision_tree(6).fit(rows.filter("split = 'train'"))
     return evaluate.confusion(model.transform(rows), by=["split"])
 
 
 @query()
 def m19_random_forest(spark, d):
-    rows = evaluate.split_train_valid(_assembled(spark, d), "doc_id")
+    rows = evaluate.split_train_valid(_assembled(spark, d)[0], "doc_id")
     model = classify.random_forest(8).fit(rows.filter("split = 'train'"))
     return evaluate.confusion(model.transform(rows), by=["split"])
 
 
 @query()
 def m20_feature_importance(spark, d):
-    return classify.feature_importance(spark, classify.random_forest(8).fit(_assembled(spark, d)), DOC_X)
+    return classify.feature_importance(spark, classify.random_forest(8).fit(_assembled(spark, d)[0]), DOC_X)
 
 
 @query()
 def m21_soft_vote(spark, d):
     """Forest, tree and logit: accuracy of each and of their averaged probabilities."""
-    rows = _assembled(spark, d)
-    n = rows.count() * 4 // 5
+    rows, n = _assembled(spark, d)
     makers = {
         "forest": lambda: classify.random_forest(8),
         "tree": lambda: classify.decision_tree(6),
-        "logit": lambda: classify.logit_l2(1.0, n),
+        "logit": lambda: classify.logit_l2(1.0, n * 4 // 5),
     }
     return classify.cross_validated_vote(rows, makers, 5)
 
@@ -544,7 +546,7 @@ def s8_save_model(spark, d):
     from loomstat.session import work_path
     from loomstat.sources.tables import save_model
 
-    rows = _assembled(spark, d)
+    rows, _ = _assembled(spark, d)
     path = work_path(spark, "tree")
     save_model(classify.decision_tree(6).fit(rows), path)
     return evaluate.confusion(DecisionTreeClassificationModel.load(path).transform(rows))

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loomstat.session import cut_lineage
+
 
 def scan_table(
     spark: SparkSession, path: str, schema: T.StructType | str | None = None, fmt: str = "parquet", **options
@@ -37,6 +39,20 @@ def spread_rows(df: DataFrame, *key: str) -> DataFrame:
     return df.repartition(cores, *key)
 
 
+def keep_packed(df: DataFrame, rows_per_task: int = 100_000) -> tuple[DataFrame, int]:
+    """Store a training table for repeated passes; returns it and its row count.
+
+    The rows are checkpointed in the shared folder, so no pass plans or
+    recomputes the features again and a lost executor costs a re-read, and are
+    cached on top. Every pass pays for each task, so a table with few rows per
+    partition is read in fewer, fuller tasks; a large one keeps its partitions.
+    """
+    stored = cut_lineage(df)
+    n = stored.count()
+    wanted = max(1, -(-n // rows_per_task))
+    return (stored.coalesce(wanted) if wanted < stored.rdd.getNumPartitions() else stored).persist(), n
+
+
 def scan_headerless_csv(spark: SparkSession, path: str, columns: Sequence[tuple[str, str]], **options) -> DataFrame:
     """CSV without a header row; ``columns`` gives (name, type) in file order."""
     schema = ", ".join(f"`{name}` {kind}" for name, kind in columns)
