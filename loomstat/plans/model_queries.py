@@ -163,7 +163,7 @@ def m8_lasso_path(spark, d):
     """WITH t AS (SELECT avg(l_quantity) AS mx, avg(l_extendedprice) AS my, covar_pop(l_extendedprice, l_quantity) AS c, var_pop(l_quantity) AS v, CAST(count(*) AS DOUBLE) AS n FROM lineitem),
         a AS (SELECT unnest([0.1, 10.0, 1000.0, 100000.0, 1000000.0]::DOUBLE[]) AS alpha),
         w AS (SELECT alpha, mx, my, sign(c) * greatest(abs(c) - alpha, 0) / v AS coef FROM a, t)
-        SELECT w.alpha, CAST(max(coef != 0)::INT AS INTEGER) AS n_kept, round(any_value(coef), 4) AS coef,
+        SELECT w.alpha, CAST(max(coef != 0)::INT AS INTEGER) AS n_kept, round(any_value(coef), 4) + 0.0 AS coef,
                round(avg(power(l_extendedprice - (my + coef * (l_quantity - mx)), 2)), 0) AS train_ase
         FROM w, lineitem GROUP BY w.alpha"""
 )
