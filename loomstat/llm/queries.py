@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F  # noqa: F401
+from pyspark.sql import functions as F
 
-from loomstat.llm import mixing
+from loomstat.llm import mixing, personal_data, simhash
 from loomstat.llm.catalog import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -45,3 +45,29 @@ def op10_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     """How many words of every document the mix takes."""
     docs = table(spark, folder, "documents").select("doc_id", "text", "source")
     return mixing.mix_plan(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query()
+def op7_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts and digests of the personal data in every document."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = personal_data.find_personal_data(docs).select("doc_id", "spans")
+    base = [k.name for k in personal_data.KINDS if k.base]
+    more = [k.name for k in personal_data.KINDS if not k.base]
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[count(k) for k in base],
+        F.sha2(personal_data.digest(F.filter("spans", lambda s: s["kind"].isin(base))), 256).alias("base_sha256"),
+        personal_data.digest(F.col("spans")).alias("spans"),
+        *[count(k) for k in more],
+    )
+
+
+@query()
+def op9_simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate group of every document by SimHash."""
+    return simhash.group_near_duplicates(table(spark, folder, "documents"))
