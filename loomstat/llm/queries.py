@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomstat.llm import mixing, personal_data, simhash
+from loomstat.llm import line_spread, mixing, personal_data, pieces, simhash
 from loomstat.llm.catalog import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
 
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
 MIX_SQL = r"""
 WITH docs AS (
     SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents
@@ -46,6 +48,38 @@ def op10_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "source")
     return mixing.mix_plan(docs).select("doc_id", "size", "source_size", "target", "taken")
 
+SPREAD_SQL = r"""
+WITH lines AS (
+    SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos FROM documents
+), spread AS (
+    SELECT line, min(doc_id) AS first_doc FROM lines WHERE trim(line) <> '' GROUP BY line HAVING count(DISTINCT coalesce('s' || source, 'n')) >= 5
+), firsts AS (
+    SELECT l.line, l.doc_id, min(l.pos) AS pos FROM lines l JOIN spread s ON l.line = s.line AND l.doc_id = s.first_doc GROUP BY l.line, l.doc_id
+), marked AS (
+    SELECT l.doc_id, l.line, l.pos, s.line IS NOT NULL AND f.line IS NULL AS cut
+    FROM lines l LEFT JOIN spread s ON l.line = s.line LEFT JOIN firsts f ON l.line = f.line AND l.doc_id = f.doc_id AND l.pos = f.pos
+), rebuilt AS (
+    SELECT doc_id, sum(cut::INT)::BIGINT AS n_cut, coalesce(string_agg(CASE WHEN cut THEN NULL ELSE line END, chr(10) ORDER BY pos), '') AS text FROM marked GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(r.n_cut, 0)::BIGINT AS n_cut, coalesce(len(r.text), 0)::BIGINT AS n_chars, sha256(coalesce(r.text, '')) AS text_sha256
+FROM documents d LEFT JOIN rebuilt r ON d.doc_id = r.doc_id
+"""
+
+
+@query()
+def op3_piece_paths(spark: SparkSession, folder: str) -> DataFrame:
+    """Piece ids of every document by the shortest path, and whether decoding gives the text back."""
+    return pieces.encode_digest(table(spark, folder, "documents"), pieces.read_model(PIECE_MODEL))
+
+
+@query(SPREAD_SQL)
+def op8_line_spread(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the lines that stand on many sites."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "source")
+    cut = line_spread.cut_spread_lines(docs, count="n_cut")
+    kept = F.coalesce("text", F.lit(""))
+    return cut.select("doc_id", "n_cut", F.length(kept).cast("long").alias("n_chars"), F.sha2(kept, 256).alias("text_sha256"))
+
 
 @query()
 def op7_personal_data(spark: SparkSession, folder: str) -> DataFrame:
