@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomstat.llm import line_spread, mixing, personal_data, pieces, simhash
+from loomstat.llm import line_spread, mixing, personal_data, pieces, simhash, toxicity
 from loomstat.llm.catalog import ORACLES, QUERIES, query, table
+from loomstat.llm.common import held_out
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -48,6 +49,16 @@ def op10_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "source")
     return mixing.mix_plan(docs).select("doc_id", "size", "source_size", "target", "taken")
 
+@query()
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs = table(spark, folder, "documents")
+    model = toxicity.fit(docs, table(spark, folder, "labels"))
+    scores = toxicity.score(docs, model)
+    flagged = (F.col("score") >= 0.3).cast("int").alias("predicted")
+    return scores.select("doc_id", held_out(F.col("doc_id"), 4).alias("held_out"), "score", flagged)
+
+
 SPREAD_SQL = r"""
 WITH lines AS (
     SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos FROM documents
