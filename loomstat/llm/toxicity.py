@@ -32,6 +32,8 @@ MINED_VOTERS = 6
 LEAST_DOCS = 4
 ROUNDS = 12
 WORD = re.compile(r"\w+")
+# The last two voters: what a training label says of its document. They abstain elsewhere.
+ANNOTATORS = ("said_toxic", "said_clean")
 # Words remembered per worker; a full cache starts afresh.
 CACHE = 300_000
 
@@ -71,7 +73,7 @@ class Voters:
     mined: list[list[str]] = field(default_factory=list)
 
     def __post_init__(self):
-        self.names = [*LEXICA, *PATTERNS, "two_hits", *[f"mined_{i}" for i in range(len(self.mined))]]
+        self.names = [*LEXICA, *PATTERNS, "two_hits", *[f"mined_{i}" for i in range(len(self.mined))], *ANNOTATORS]
         bits = {name: 1 << i for i, name in enumerate(self.names)}
         self.by_feature: dict[str, int] = {}
         for name, words in LEXICA.items():
@@ -108,13 +110,18 @@ class Voters:
         return votes | (self.two_hits if hits > 1 else 0)
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, rows: int = FIT_ROWS) -> DataFrame:
+def training_labels(labels: DataFrame, doc_id: str, label: str) -> DataFrame:
+    """(id, label) of the rows that may be learnt from; an id labelled twice is toxic if either label says so."""
+    known = labels.select(col(doc_id).cast("long").alias("id"), col(label).cast("int").alias("label"))
+    known = known.where(F.col("label").isin(0, 1) & F.col("id").isNotNull() & ~held_out(F.col("id"), 4))
+    return known.groupBy("id").agg(F.max("label").alias("label"))
+
+
+def labelled_sample(docs: DataFrame, known: DataFrame, doc_id: str, text: str, rows: int = FIT_ROWS) -> DataFrame:
     """(id, text, label) of labelled training rows, about ``rows`` at most, chosen by a hash of the id.
 
     The chosen ids are bounded by ``rows``, so they are broadcast to the scan.
     """
-    known = labels.select(col(doc_id).cast("long").alias("id"), col(label).cast("int").alias("label"))
-    known = known.where(F.col("label").isin(0, 1) & F.col("id").isNotNull() & ~held_out(F.col("id"), 4)).groupBy("id").agg(F.max("label").alias("label"))
     total = known.count()
     share = F.pmod(F.xxhash64(F.lit("toxicity"), "id"), F.lit(1_000_000)) < int(1_000_000 * min(1.0, rows / max(total, 1)))
     texts = docs.select(col(doc_id).cast("long").alias("id"), col(text).alias("text"))
@@ -160,9 +167,9 @@ def mine(sample: DataFrame, features: int = FEATURES) -> list[tuple[str, float]]
 
 
 def mined_voters(mined: Sequence[tuple[str, float]], voters: int = MINED_VOTERS) -> list[list[str]]:
-    """Deal clearly toxic features over the voters by rank in turn, so that each has strong and weak ones."""
-    strong = [f for f, odds in mined if odds > 2.0][:600]
-    return [strong[i::voters] for i in range(voters)]
+    """Clearly toxic features in tiers of a hundred by rank, one voter each, so that voters differ in accuracy."""
+    strong = [f for f, odds in mined if odds > 2.0][: 100 * voters]
+    return [strong[100 * i : 100 * (i + 1)] for i in range(voters)]
 
 
 def votes(docs: DataFrame, voters: Voters, doc_id: str, text: str) -> DataFrame:
@@ -191,6 +198,7 @@ class LabelModel:
         """Log odds without votes, and what each vote adds."""
         on = np.log(self.toxic / self.clean)
         off = np.log((1 - self.toxic) / (1 - self.clean))
+        off[-len(ANNOTATORS) :] = 0.0
         return math.log(self.prior / (1 - self.prior)) + float((self.weights * off).sum()), self.weights * (on - off)
 
     def posterior(self, masks: np.ndarray) -> np.ndarray:
@@ -234,7 +242,10 @@ def fit_label_model(masks: DataFrame, names: Sequence[str], rounds: int = ROUNDS
 
     It starts from voters that fire on 30 % of toxic documents and as often on
     clean ones as they fire in all; a voter never counts as worse than chance.
+    Training labels are two more voters, which start as right in 97 % of cases
+    and keep their full weight.
     """
+    sayers = slice(len(names) - len(ANNOTATORS), len(names))
     m = len(names)
     patterns = cut_lineage(masks.groupBy("votes").agg(F.count(F.lit(1)).alias("n")))
     blank = LabelModel(0.1, np.full(m, 0.3), np.full(m, 0.1), np.ones(m))
@@ -242,6 +253,7 @@ def fit_label_model(masks: DataFrame, names: Sequence[str], rounds: int = ROUNDS
     total = joint[m, m]
     rate = (joint[m, :m] + 0.5) / (total + 1)
     model = LabelModel(0.1, np.maximum(0.3, rate * 1.5).clip(1e-4, 0.95), (rate * 0.8).clip(1e-5, 0.9), np.full(m, 1 / math.sqrt(m)))
+    model.toxic[sayers], model.clean[sayers], model.weights[sayers] = (0.97, 0.03), (0.03, 0.97), 1.0
     for _ in range(rounds if total else 0):
         joint, toxic = joint_counts(patterns, model, m)
         n1, n0 = max(toxic[m, m], 1.0), max(total - toxic[m, m], 1.0)
@@ -251,9 +263,11 @@ def fit_label_model(masks: DataFrame, names: Sequence[str], rounds: int = ROUNDS
             spread = np.sqrt(np.outer(rates * (1 - rates), rates * (1 - rates)))
             correlation = np.maximum(correlation, ((counts / n - np.outer(rates, rates)) / spread).clip(0, 1))
         np.fill_diagonal(correlation, 0)
+        correlation[sayers] = correlation[:, sayers] = 0
         on1 = ((np.diag(toxic)[:m] + 0.5) / (n1 + 1)).clip(1e-4, 0.99)
         on0 = ((np.diag(joint - toxic)[:m] + 0.5) / (n0 + 1)).clip(1e-5, 0.99)
         model = LabelModel(min(max(n1 / total, 0.005), 0.5), np.maximum(on1, on0), np.minimum(on0, on1), 1 / (1 + correlation.sum(axis=1)))
+        model.toxic[sayers], model.clean[sayers] = on1[sayers], on0[sayers]
     return model
 
 
@@ -292,24 +306,23 @@ def fit(
 ) -> ToxicityModel:
     """Fit voters, label model and classifier.
 
-    Labels come from rows whose crc32(doc_id as text) mod 4 is not 2. In the
-    posterior of a sampled row its own label counts as one more voter, right
-    in 97 % of cases. The sample (``rows``) bounds mining and the classifier; the
+    Labels come from rows whose crc32(doc_id as text) mod 4 is not 2. The sample (``rows``) bounds mining and the classifier; the
     label model reads the votes of all documents. Without both classes among
     the labels the classifier is the label model's prior alone.
     """
-    sample = labelled_sample(docs, labels, doc_id, text, label, rows)
+    known = training_labels(labels, doc_id, label)
+    sample = labelled_sample(docs, known, doc_id, text, rows)
     mined = mine(sample)
     voters = Voters(mined_voters(mined))
-    model = fit_label_model(votes(docs, voters, doc_id, text), voters.names)
+    said = F.when(F.col("label") == 1, 1 << voters.names.index("said_toxic")).when(F.col("label") == 0, 1 << voters.names.index("said_clean")).otherwise(0)
+    marked = votes(docs, voters, doc_id, text).join(known, "id", "left").select(F.col("votes").bitwiseOR(said.cast("long")).alias("votes"))
+    model = fit_label_model(marked, voters.names)
     if not mined:
         return ToxicityModel({}, np.zeros(0), math.log(model.prior / (1 - model.prior)), voters, model)
     features = {f: i for i, (f, _) in enumerate(mined)}
     shared = docs.sparkSession.sparkContext.broadcast((set(features), voters.mined))
 
-    def label_odds(masks: np.ndarray, labels: np.ndarray) -> np.ndarray:
-        prior = model.posterior(masks).clip(1e-9, 1 - 1e-9)
-        return 1 / (1 + (1 - prior) / prior * np.where(labels == 1, 0.03 / 0.97, 0.97 / 0.03))
+    toxic_bit, clean_bit = (1 << voters.names.index(a) for a in ANNOTATORS)
 
     def inputs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, mined_lists = shared.value
@@ -320,8 +333,9 @@ def fit(
                 content = value.as_py()
                 active.append(sorted({f for w in words_of(content) for f in word_features(w) if f in index}))
                 masks.append(own.mask(content))
-            odds = label_odds(np.array(masks, dtype=np.int64), batch.column(1).to_numpy(zero_copy_only=False))
-            yield pa.RecordBatch.from_arrays([pa.array(active, pa.list_(pa.string())), pa.array(odds)], ["active", "p"])
+            said = np.where(batch.column(1).to_numpy(zero_copy_only=False) == 1, toxic_bit, clean_bit)
+            posterior = model.posterior(np.array(masks, dtype=np.int64) | said)
+            yield pa.RecordBatch.from_arrays([pa.array(active, pa.list_(pa.string())), pa.array(posterior)], ["active", "p"])
 
     ready = sample.select("text", "label").mapInArrow(inputs, "active array<string>, p double")
     vectors = CountVectorizerModel.from_vocabulary(list(features), inputCol="active", outputCol="features", binary=True).transform(ready)
