@@ -15,6 +15,7 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel
@@ -366,7 +367,7 @@ def drop_toxic(docs: DataFrame, model: ToxicityModel, doc_id: str = "doc_id", te
     shared = docs.sparkSession.sparkContext.broadcast((model.features, model.weights, model.intercept, model.voters.mined, model.label_model))
 
     @F.pandas_udf("double")
-    def rated(batches: Iterator["pd.Series"]) -> Iterator["pd.Series"]:  # noqa: F821
+    def rated(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         features, weights, intercept, mined, label_model = shared.value
         rate = ToxicityModel(features, weights, intercept, Voters(mined), label_model).scorer()
         for texts in batches:
