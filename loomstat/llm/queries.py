@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomstat.llm import language_model, line_spread, mixing, personal_data, pieces, simhash, toxicity
+from loomstat.llm import language_model, line_spread, mixing, personal_data, pieces, simhash, toxicity, vector_groups
 from loomstat.llm.catalog import ORACLES, QUERIES, query, table
 from loomstat.llm.common import held_out
 
@@ -92,6 +92,12 @@ def op8_line_spread(spark: SparkSession, folder: str) -> DataFrame:
     return cut.select("doc_id", "n_cut", F.length(kept).cast("long").alias("n_chars"), F.sha2(kept, 256).alias("text_sha256"))
 
 
+@query()
+def op4_vector_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate links and groups of all embeddings with equal labels."""
+    return vector_groups.group_vectors(table(spark, folder, "embeddings"))
+
+
 @query()
 def op6_backoff_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Language-model score of every document."""
