@@ -18,6 +18,7 @@ words are independent, and each distinct word is composed once per cache.
 
 from __future__ import annotations
 
+import math
 import struct
 from collections.abc import Iterator
 
@@ -100,6 +101,8 @@ class PieceTransducer:
         # Beginnings of pieces, to stop at the first that no piece has.
         self.beginnings = {name[:n] for name in self.arcs for n in range(1, len(name) + 1)}
         self.dtype = np.dtype("<u2" if len(pieces) <= 1 << 16 else "<u4")
+        self.rank = {name: self.weight[i] for name, i in self.arcs.items()}
+        self.ends: dict[str, tuple | None] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
         self.words: dict[str, bytes] = {}
         out = []
@@ -112,30 +115,70 @@ class PieceTransducer:
                 out.append((" ⁇ " if kind == UNKNOWN else name.replace(SPACE, " ")).encode("utf-8"))
         self.output = out
 
-    def merged(self, text: str) -> list[str]:
-        """Join neighbours, best rank first and leftmost of equals, until none is a piece."""
-        parts = list(text)
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                piece = self.arcs.get(parts[i] + parts[i + 1])
-                if piece is not None and (best is None or self.weight[piece] < best):
+    def merged(self, text: str) -> list[tuple]:
+        """Join neighbours, best rank first and leftmost of equals, until none is a piece: trees (part, rank, left, right)."""
+        trees: list[tuple] = [(c, -math.inf, None, None) for c in text]
+        while len(trees) > 1:
+            best, at = math.inf, -1
+            for i in range(len(trees) - 1):
+                piece = self.arcs.get(trees[i][0] + trees[i + 1][0])
+                if piece is not None and self.weight[piece] < best:
                     best, at = self.weight[piece], i
             if at < 0:
                 break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return parts
+            left, right = trees[at : at + 2]
+            trees[at : at + 2] = [(left[0] + right[0], best, left, right)]
+        return trees
+
+    def sides(self, part: str) -> tuple | None:
+        """What stands at the left and at the right end of a part while it is merged: lists of (symbol, made at rank, gone at rank).
+
+        None if merging does not give the part as a whole. A rank says when a
+        symbol is made only if it is later than those of the symbol's own parts;
+        where that fails the lists are empty.
+        """
+        known = self.ends.get(part)
+        if known is None and part not in self.ends:
+            trees = self.merged(part)
+            if len(trees) == 1:
+                lists, ordered = [], True
+                for side in (2, 3):
+                    tree, gone, chain = trees[0], math.inf, []
+                    while tree is not None:
+                        chain.append((tree[0], tree[1], gone))
+                        ordered &= tree[1] < gone
+                        gone, tree = tree[1], tree[side]
+                    lists.append(chain)
+                known = tuple(lists) if ordered else ([], [])
+            if len(self.ends) >= CACHE:
+                self.ends.clear()
+            self.ends[part] = known
+        return known
 
     def follows(self, a: str, b: str) -> bool:
-        """The acceptor of neighbours of a merge model; with empty ``a``, whether merging makes ``b`` whole."""
+        """The acceptor of neighbours of a merge model, for parts that merging makes whole.
+
+        The boundary of ab is lost if at some time the symbol on its left and the
+        symbol on its right are there together and their join comes first: before
+        the left one is merged to its own left (which goes first at equal
+        ranks) and not after the right one is merged to its own right.
+        """
         key = (a, b)
         known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) >= CACHE:
+            if len(self.pairs) >= 2 * CACHE:
                 self.pairs.clear()
-            # A piece that merging makes of both leaves no boundary between them.
-            joined = a and a + b in self.arcs and self.follows("", a + b)
-            known = self.pairs[key] = not joined and self.merged(a + b) == ([a, b] if a else [b])
+            ends, begins = self.sides(a)[1], self.sides(b)[0]
+            if ends and begins:
+                known = not any(
+                    self.rank.get(x + y, math.inf) < x_gone and self.rank.get(x + y, math.inf) <= y_gone
+                    for x, x_made, x_gone in ends
+                    for y, y_made, y_gone in begins
+                    if x_made < y_gone and y_made < x_gone and x + y in self.rank
+                )
+            else:
+                known = [t[0] for t in self.merged(a + b)] == [a, b]
+            self.pairs[key] = known
         return known
 
     def arcs_from(self, text: str, start: int) -> Iterator[tuple[int, int | None]]:
@@ -191,7 +234,7 @@ class PieceTransducer:
             while options:
                 end, piece = options.pop()
                 part = text[start:end]
-                if (start, end) not in dead and self.follows("", part) and (not before or self.follows(before, part)):
+                if (start, end) not in dead and self.sides(part) and (not before or self.follows(before, part)):
                     path.append((start, end, piece))
                     choices.append(list(self.arcs_from(text, end)) if end < n else [])
                     start, before = end, part
