@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomstat.llm import language_model, line_spread, mixing, personal_data, pieces, simhash, toxicity, vector_groups
+from loomstat.llm import language_model, line_spread, mixing, neighbours, personal_data, pieces, simhash, toxicity, vector_groups
 from loomstat.llm.catalog import ORACLES, QUERIES, query, table
 from loomstat.llm.common import held_out
 
@@ -98,6 +98,12 @@ def op4_vector_groups(spark: SparkSession, folder: str) -> DataFrame:
     return vector_groups.group_vectors(table(spark, folder, "embeddings"))
 
 
+@query()
+def op5_nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 vectors of greatest inner product for every twentieth embedding."""
+    return neighbours.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @query()
 def op6_backoff_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Language-model score of every document."""

@@ -252,21 +252,45 @@ class ShardLinks:
             width *= 2
 
 
-def shard_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, query, vec_id, copies, draw, vector), sorted so that each key's members come before its queries, to
-    rows (vec_id, n_links, other): links counted per query, and a spanning forest of them in ``other``."""
+def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[np.ndarray], list[np.ndarray]]]:
+    """Members and queries of one key after the other, each as its columns joined.
+
+    Rows are (key, query, numbers ..., vector), sorted by key and then by query,
+    and the vectors of a key are equally long. Keys without members or without
+    queries are passed over.
+    """
 
-    def matrix(column) -> np.ndarray:
-        """Lists of one key, which all have the same length."""
-        return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+    def whole(parts: list) -> list[np.ndarray]:
+        return [np.concatenate(p) for p in zip(*parts)]
+
+    key, members, queries = None, [], []
+    for batch in batches:
+        keys = np.array(batch.column(0).to_pylist(), dtype=object)
+        is_query = batch.column(1).to_numpy(zero_copy_only=False) == 1
+        numbers = [c.to_numpy(zero_copy_only=False) for c in batch.columns[2:-1]]
+        cuts = [0, *(np.nonzero(keys[1:] != keys[:-1])[0] + 1).tolist(), len(keys)] if len(keys) else [0]
+        for low, high in zip(cuts, cuts[1:]):
+            if keys[low] != key:
+                if members and queries:
+                    yield whole(members), whole(queries)
+                key, members, queries = keys[low], [], []
+            part = is_query[low:high]
+            vectors = batch.columns[-1].slice(low, high - low).flatten().to_numpy(zero_copy_only=False).reshape(high - low, -1)
+            for store, rows in ((members, ~part), (queries, part)):
+                if rows.any():
+                    store.append([*[n[low:high][rows] for n in numbers], vectors[rows]])
+    if members and queries:
+        yield whole(members), whole(queries)
 
-    def answer(members, queries):
-        shard = ShardLinks(*(np.concatenate(p) for p in zip(*members)), THRESHOLD)
-        query_ids, _, draws, vectors = (np.concatenate(p) for p in zip(*queries))
-        n_links, edges = shard.resolve(query_ids, vectors, np.argsort(draws, kind="stable")[:AUDITS])
+
+def shard_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of (key, query, vec_id, copies, draw, vector) to rows (vec_id, n_links, other): links counted per query, and a
+    spanning forest of them in ``other``."""
+    for members, (query_ids, _, draws, vectors) in blocks(batches):
+        n_links, edges = ShardLinks(*members, THRESHOLD).resolve(query_ids, vectors, np.argsort(draws, kind="stable")[:AUDITS])
         pairs = np.array(edges, dtype=np.int64).reshape(-1, 2)
         some = n_links > 0
-        return pa.RecordBatch.from_arrays(
+        yield pa.RecordBatch.from_arrays(
             [
                 pa.array(np.concatenate([query_ids[some], pairs[:, 0]])),
                 pa.array(np.concatenate([n_links[some], np.zeros(len(pairs), dtype=np.int64)])),
@@ -275,26 +299,6 @@ def shard_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["vec_id", "n_links", "other"],
         )
 
-    key, members, queries = None, [], []
-    for batch in batches:
-        keys = np.array(batch.column(0).to_pylist(), dtype=object)
-        is_query = batch.column(1).to_numpy(zero_copy_only=False)
-        values = [batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3, 4)]
-        cuts = [0, *(np.nonzero(keys[1:] != keys[:-1])[0] + 1).tolist(), len(keys)] if len(keys) else [0]
-        for low, high in zip(cuts, cuts[1:]):
-            if key is not None and keys[low] != key:
-                if members and queries:
-                    yield answer(members, queries)
-                members, queries = [], []
-            key = keys[low]
-            part = is_query[low:high] == 1
-            vectors = matrix(batch.column(5).slice(low, high - low))
-            for wanted, store in ((False, members), (True, queries)):
-                if (part == wanted).any():
-                    store.append([*[v[low:high][part == wanted] for v in values], vectors[part == wanted]])
-    if members and queries:
-        yield answer(members, queries)
-
 
 def usable(vectors: DataFrame, vec_id: str, embedding: str, label: str) -> DataFrame:
     """(vec_id, label, unit): unit vectors in double precision; null where a vector takes no part."""
