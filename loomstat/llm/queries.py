@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomstat.llm import language_model, line_spread, mixing, neighbours, personal_data, pieces, simhash, toxicity, vector_groups
+from loomstat.llm import language_model, licenses, line_spread, mixing, neighbours, personal_data, pieces, simhash, toxicity, vector_groups
 from loomstat.llm.catalog import ORACLES, QUERIES, query, table
 from loomstat.llm.common import held_out
 
@@ -59,6 +59,23 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scores.select("doc_id", held_out(F.col("doc_id"), 4).alias("held_out"), "score", flagged)
 
 
+@query()
+def op2_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """Own and inherited licence of every document.
+
+    The table has no paths, so each document gets one: its source is the
+    repository, hundreds and ten thousands of ids are directories, and the first
+    document of each hundred stands as that directory's LICENSE file (the first
+    of ten thousand as that of the directory above).
+    """
+    docs = table(spark, folder, "documents").select("doc_id", "text", "source")
+    upper, lower = F.floor(F.col("doc_id") / 10_000), F.floor(F.col("doc_id") / 100)
+    inside = F.when(F.col("doc_id") % 10_000 == 0, "LICENSE").when(F.col("doc_id") % 100 == 0, F.concat_ws("/", lower, F.lit("LICENSE")))
+    path = F.concat_ws("/", F.coalesce("source", F.lit("none")), upper, F.coalesce(inside, F.concat_ws("/", lower, F.concat("doc_id", F.lit(".txt")))))
+    scanned = licenses.scan_licenses(docs.select("doc_id", "text", path.alias("path")))
+    return scanned.select("doc_id", "path", "own_license", F.round("score", 6).alias("score"), "license", "license_dir")
+
+
 SPREAD_SQL = r"""
 WITH lines AS (
     SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos FROM documents
