@@ -20,12 +20,12 @@ from __future__ import annotations
 
 import math
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loomstat.llm.common import col
 
@@ -36,7 +36,9 @@ UNIGRAM, MERGES = 1, 2
 # What an unknown character costs above the dearest piece, as in the library.
 UNKNOWN_PENALTY = 10.0
 # Words and pairs remembered per worker; a full cache starts afresh.
-CACHE = 300_000
+CACHE = 250_000
+# Rows encoded at a time, so that the ids of few texts are in memory.
+ROWS = 256
 
 
 def fields(data: bytes) -> Iterator[tuple[int, object]]:
@@ -166,7 +168,7 @@ class PieceTransducer:
         key = (a, b)
         known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) >= 2 * CACHE:
+            if len(self.pairs) >= CACHE:
                 self.pairs.clear()
             ends, begins = self.sides(a)[1], self.sides(b)[0]
             if ends and begins:
@@ -315,6 +317,22 @@ def read_model(path: str) -> bytes:
         return file.read()
 
 
+def add_column(df: DataFrame, source: str, out: str, kind: T.DataType, make: Callable[[pa.Array], pa.Array]) -> DataFrame:
+    """Add a column made from another by Arrow batches of few rows; a column named like ``out`` is replaced."""
+    kept = [c for c in df.columns if c != out]
+    # Names may repeat up to case or hold dots, so the batches go by position.
+    plain = df.select(*[col(c).alias(f"c{i}") for i, c in enumerate(kept)], col(source).alias("source"))
+    schema = T.StructType([*plain.schema.fields[:-1], T.StructField("made", kind)])
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, batch.num_rows, ROWS):
+                part = batch.slice(low, ROWS)
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], make(part.columns[-1])], schema.names)
+
+    return plain.mapInArrow(made, schema).toDF(*kept, out)
+
+
 def encode(docs: DataFrame, model: bytes, text: str = "text", out: str = "pieces") -> DataFrame:
     """Add ``out``: array<int> of piece ids. A null text has null pieces, an empty one none.
 
@@ -324,24 +342,25 @@ def encode(docs: DataFrame, model: bytes, text: str = "text", out: str = "pieces
     """
     broadcast = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("array<int>")
-    def ids(texts):
+    def ids(texts: pa.Array) -> pa.Array:
         machine = machine_of(broadcast.value)
-        return texts.map(lambda t: None if t is None else machine.encode(t).astype(np.int32))
+        lists = [machine.encode(t or "") for t in texts.to_pylist()]
+        ends = np.cumsum([0, *map(len, lists)]).astype(np.int32)
+        values = np.concatenate(lists).astype(np.int32) if lists else np.zeros(0, dtype=np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(values), mask=texts.is_null())
 
-    return docs.withColumn(out, ids(col(text)))
+    return add_column(docs, text, out, T.ArrayType(T.IntegerType()), ids)
 
 
 def decode(docs: DataFrame, model: bytes, pieces: str = "pieces", out: str = "decoded") -> DataFrame:
     """Add ``out``: the text of an array of piece ids; null for null."""
     broadcast = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("string")
-    def text(lists):
+    def texts(lists: pa.Array) -> pa.Array:
         machine = machine_of(broadcast.value)
-        return lists.map(lambda ids: None if ids is None else machine.decode(ids))
+        return pa.array([None if ids is None else machine.decode(ids) for ids in lists.to_pylist()], pa.string())
 
-    return docs.withColumn(out, text(col(pieces)))
+    return add_column(docs, pieces, out, T.StringType(), texts)
 
 
 def encode_digest(docs: DataFrame, model: bytes, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

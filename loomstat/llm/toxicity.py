@@ -36,7 +36,7 @@ WORD = re.compile(r"\w+")
 # The last two voters: what a training label says of its document. They abstain elsewhere.
 ANNOTATORS = ("said_toxic", "said_clean")
 # Words remembered per worker; a full cache starts afresh.
-CACHE = 300_000
+CACHE = 150_000
 
 # Word lists of the hand-made voters.
 LEXICA = {

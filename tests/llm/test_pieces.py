@@ -48,7 +48,7 @@ def test_unigram_model_has_least_weight(spark, folder, model):
         got, want = machine.encode(text).tolist(), library.encode(text)
         # The library adds single-precision scores, so its path may be a little heavier.
         ours, theirs = (sum(library.get_score(i) for i in ids) for ids in (got, want))
-        assert theirs <= ours <= theirs + 1e-4 * abs(theirs)
+        assert theirs <= ours <= theirs + 1e-3 * abs(theirs)
         assert machine.decode(got) == text.replace("▁", " ")
 
 
