@@ -34,7 +34,7 @@ from loomstat.llm.common import col
 from loomstat.session import work_path
 
 # Tokens of a group of documents; a longer document is a group of its own.
-GROUP_TOKENS = 2_000_000
+GROUP_TOKENS = 1_000_000
 # Wanted tokens per bucket of n-grams.
 BUCKET_TOKENS = 2_000_000
 # No word holds a line feed, so these are not words.
