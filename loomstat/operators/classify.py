@@ -21,7 +21,7 @@ from loomstat.operators.reshape import union_all
 
 # Inverse penalties and depths that are swept.
 PENALTIES = [1e-4, 1e-3, 1e-2, 1e-1, 1.0, 5.0, 10.0, 50.0, math.inf]
-TREE_DEPTHS = [5, 6, 7, 8, 10, 12, 15, 20, 25]
+TREE_DEPTHS = [*range(5, 16), 20, 25]
 
 
 def assemble(df: DataFrame, xs: Sequence[str], label: str, keep: Sequence[str] = ()) -> DataFrame:

@@ -17,8 +17,6 @@ from pyspark.sql import functions as F
 # Up to this many columns the products are plain SQL sums in one generated
 # aggregate; wider designs use one matrix product per Arrow batch.
 SQL_WIDTH = 8
-# Rows looked at to pick a numerical origin. The result does not depend on it.
-ORIGIN_ROWS = 1000
 
 
 @dataclass
@@ -71,7 +69,8 @@ class Gram:
 
 
 def _origin(data: DataFrame, columns: Sequence[str]) -> np.ndarray:
-    row = data.limit(ORIGIN_ROWS).agg(*[F.avg(F.nanvl(c, F.lit(None))) for c in columns]).first()
+    """Column means over all rows: products about them lose no digits, however the table is sorted."""
+    row = data.agg(*[F.avg(F.nanvl(c, F.lit(None))) for c in columns]).first()
     return np.array([v if v is not None else 0.0 for v in row], dtype=float)
 
 

@@ -5,15 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A lookup table is broadcast only after counting that it has at most this many rows.
+# A lookup table is broadcast only after measuring that it has at most this many rows and bytes.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 << 20
 # Otherwise its rows are repeated once per salt and the big side picks one.
 SALTS = 32
 
 
 def fits_broadcast(table: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Count at most ``rows + 1`` rows of the table."""
-    return table.limit(rows + 1).count() <= rows
+    """Measure at most ``rows + 1`` rows of the table: eight bytes a value, and what strings and binaries hold."""
+    wide = [c.name for c in table.schema.fields if c.dataType.typeName() in ("string", "binary")]
+    held = sum((F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)) for c in wide), F.lit(8 * len(table.columns)))
+    seen = table.limit(rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(held).alias("bytes")).first()
+    return seen["n"] <= rows and (seen["bytes"] or 0) <= BROADCAST_BYTES
+
+
+def reject_repeated_keys(table: DataFrame, key: str) -> None:
+    """A key listed twice would double the rows that have it."""
+    twice = table.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).first()
+    if twice is not None:
+        raise ValueError(f"the lookup table lists {twice[0]!r} more than once")
 
 
 def lookup_join(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,11 +19,25 @@ def exact_medians(df: DataFrame, value: str, split: str) -> dict:
     ranks and keeps one bin of it, so two or three passes leave a handful of
     values however many rows there are. Bin edges are taken from the data
     (smallest and largest value in the bin), so rounding cannot lose a rank.
+    Infinities are counted as outer bins of their own; only the finite range is
+    cut. Nulls and NaN are left out.
     """
-    base = df.select(F.col(split).alias("s"), F.col(value).cast("double").alias("v")).filter(F.col("v").isNotNull())
+    known = df.select(F.col(split).alias("s"), F.col(value).cast("double").alias("v")).filter("v is not null and not isnan(v)")
+    finite = F.abs("v") < F.lit(math.inf)
+    base = known.filter(finite)
     found, todo = {}, {}
-    for r in base.groupBy("s").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("v").alias("n")).collect():
-        todo[r.s] = {"lo": r.lo, "hi": r.hi, "n": r.n, "ranks": ((r.n - 1) // 2, r.n // 2)}
+    ends = known.groupBy("s").agg(
+        F.min(F.when(finite, F.col("v"))).alias("lo"), F.max(F.when(finite, F.col("v"))).alias("hi"), F.count_if(finite).alias("n"),
+        F.count_if(F.col("v") == -math.inf).alias("below"), F.count("v").alias("all"),
+    )
+    for r in ends.collect():
+        ranks = [k - r.below for k in ((r["all"] - 1) // 2, r["all"] // 2)]
+        if all(0 <= k < r.n for k in ranks):
+            todo[r.s] = {"lo": r.lo, "hi": r.hi, "n": r.n, "ranks": tuple(ranks)}
+        else:
+            # A middle rank outside the finite values; the other one, if finite, is their end.
+            low, high = (-math.inf if k < 0 else math.inf if k >= r.n else r.lo if k == 0 else r.hi for k in ranks)
+            found[r.s] = low if low == high else (low + high) / 2.0
     while todo:
         for s in [s for s, t in todo.items() if t["lo"] == t["hi"]]:
             found[s] = todo.pop(s)["lo"]
@@ -56,6 +72,8 @@ def exact_medians(df: DataFrame, value: str, split: str) -> dict:
             if first != second:
                 found[s] = (first[3] + second[2]) / 2.0
                 del todo[s]
+            elif first[1] == todo[s]["n"] and (first[2], first[3]) == (todo[s]["lo"], todo[s]["hi"]):
+                raise ValueError("the range of a median did not shrink")
             else:
                 ranks = tuple(k - below for k in todo[s]["ranks"])
                 todo[s] = {"lo": first[2], "hi": first[3], "n": first[1], "ranks": ranks}

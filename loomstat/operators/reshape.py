@@ -10,8 +10,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from loomstat.operators.joins import BROADCAST_ROWS, lookup_join
+from loomstat.operators.joins import BROADCAST_ROWS, lookup_join, reject_repeated_keys
 
 
 def union_all(*tables: DataFrame) -> DataFrame:
@@ -28,10 +29,21 @@ def dedup(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     Written as an aggregate rather than a ranking window: each task first
     reduces its own copies to one, so even a key with a third of all rows
     sends one row per task through the shuffle. ``order`` should be unique.
+
+    With one order column of a fixed size, a hash aggregate finds the first
+    per 256-bit digest of the key, and only then the winners fetch their other
+    columns, so wide rows are never sorted to be compared.
     """
     rest = [c for c in df.columns if c not in set(key)]
     if not rest:
         return df.distinct()
+    if len(order) == 1 and isinstance(df.schema[order[0]].dataType, (T.NumericType, T.DateType, T.TimestampType)):
+        parts = [F.coalesce(F.concat(F.lit("v"), F.length(F.col(c).cast("string")), F.lit(":"), F.col(c).cast("string")), F.lit("n")) for c in key]
+        marked = df.withColumn("_digest", F.unhex(F.sha2(F.concat(*parts), 256)))
+        lowest = F.when(F.count_if(F.col(order[0]).isNull()) > 0, F.lit(None)).otherwise(F.min(order[0]))
+        first = marked.groupBy("_digest").agg(lowest.alias("_first")).withColumnRenamed("_digest", "_of")
+        won = (F.col("_digest") == F.col("_of")) & F.col(order[0]).eqNullSafe(F.col("_first"))
+        return marked.join(first, won).select(*df.columns)
     first = F.min_by(F.struct(*rest), F.struct(*order)).alias("_row")
     out = df.groupBy(*key).agg(first).select(*key, "_row.*")
     return out.select(*df.columns)
@@ -73,6 +85,8 @@ def map_values(
     out = out or column
     literal = not isinstance(mapping, DataFrame)
     table = mapping_table(df.sparkSession, mapping) if literal else mapping.toDF("_from", "_to")
+    if not literal:
+        reject_repeated_keys(table, "_from")
     joined = lookup_join(df, table, column, bounded=literal and len(mapping) <= BROADCAST_ROWS)
     value: Column = F.col("_to")
     if keep_unmapped:

@@ -16,11 +16,12 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from loomstat.functions import words
-from loomstat.operators.joins import BROADCAST_ROWS, SALTS, lookup_join
+from loomstat.operators.joins import BROADCAST_ROWS, lookup_join, reject_repeated_keys
+from loomstat.session import cut_lineage
 from loomstat.sources.tables import spread_rows
 
-# A term in at least one in this many documents has its join key salted.
-HOT_PART = 64
+# Rows of one term that may meet in one task.
+TERM_ROWS = 1_000_000
 
 
 def with_words(
@@ -76,6 +77,7 @@ def recode_terms(tokens: DataFrame, mapping: Mapping[str, str] | DataFrame, term
         table = tokens.sparkSession.createDataFrame(rows, "_from string, _to string")
     else:
         table = mapping.toDF("_from", "_to")
+        reject_repeated_keys(table, "_from")
     joined = lookup_join(tokens, table, term, bounded=literal and len(mapping) <= BROADCAST_ROWS)
     return joined.withColumn(term, F.coalesce("_to", term)).drop("_to")
 
@@ -96,7 +98,7 @@ def doc_term(tokens: DataFrame, key: str, term: str = "term") -> DataFrame:
     return tokens.groupBy(key, F.col(term).alias("term")).agg(F.count(F.lit(1)).alias("tf"))
 
 
-def _limit(value: float | int, n_docs: int, upper: bool) -> int:
+def df_bound(value: float | int, n_docs: int, upper: bool) -> int:
     """A document-frequency bound: a proportion of the documents if it is a
     float up to 1, else a count."""
     if isinstance(value, float) and value <= 1.0:
@@ -112,19 +114,18 @@ def term_stats(counts: DataFrame) -> DataFrame:
 def join_term_stats(counts: DataFrame, stats: DataFrame, key: str, n_docs: int) -> DataFrame:
     """Add per-term statistics to the (key, term, tf) table.
 
-    A term found in at least one in ``HOT_PART`` documents has its rows spread
-    over salted keys, so "the" does not end in one task. There are at most
-    ``HOT_PART`` times the mean number of distinct words of a document such
-    terms, which bounds the broadcast list of them. Counts and statistics
-    share one shuffle of the words; adaptive execution turns the join into a
-    broadcast when the measured statistics are small.
+    A term has a row per document, "the" one in nearly all. Its rows are dealt
+    by document over as many salts as keep a (term, salt) pair to about
+    ``TERM_ROWS`` rows, and the statistics go to the pairs that exist, so no
+    list of frequent terms is needed and no task holds a whole term. Few
+    documents need one salt, and counts and statistics then share one shuffle.
     """
-    frequent = F.col("df") >= max(n_docs // HOT_PART, 2)
-    hot = F.broadcast(stats.filter(frequent).select("term", F.lit(True).alias("_hot")))
-    salt = F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int")
-    left = counts.join(hot, "term", "left").withColumn("_s", F.when(F.col("_hot"), salt).otherwise(0)).drop("_hot")
-    salts = F.when(frequent, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    return left.join(stats.withColumn("_s", F.explode(salts)), ["term", "_s"]).drop("_s")
+    salts = -(-n_docs // TERM_ROWS)
+    if salts <= 1:
+        return counts.join(stats, "term")
+    dealt = counts.withColumn("_s", F.pmod(F.xxhash64(key), F.lit(salts)).cast("int"))
+    placed = dealt.select("term", "_s").distinct().join(stats, "term")
+    return dealt.join(placed, ["term", "_s"]).drop("_s")
 
 
 def limit_terms(
@@ -132,7 +133,7 @@ def limit_terms(
 ) -> DataFrame:
     """Keep the terms found in at least ``min_df`` and at most ``max_df``
     documents; adds ``total`` and ``df``."""
-    low, high = _limit(min_df, n_docs, False), _limit(max_df, n_docs, True)
+    low, high = df_bound(min_df, n_docs, False), df_bound(max_df, n_docs, True)
     stats = term_stats(counts).filter(F.col("df").between(low, high))
     return join_term_stats(counts, stats, key, n_docs)
 
@@ -172,27 +173,24 @@ def common_terms(table: DataFrame, top: int, bottom: int) -> DataFrame:
     return most.unionByName(least)
 
 
-def zipf_table(totals: DataFrame, prefix: int = 3) -> DataFrame:
+def zipf_table(totals: DataFrame) -> DataFrame:
     """Rank, frequency and logarithms for every term.
 
-    The rank is global but never computed in one task: it is the number of
-    terms with a higher total, plus those with the same total and a smaller
-    prefix, plus the place among the terms that share both. The first window
-    runs over the distinct totals (m of them need m(m+1)/2 tokens, so it is
-    short), the second over the prefixes within one total.
+    The rank is global but never computed in one task: the terms are cut into
+    ranges by sampling, ranked inside each, and the sizes of earlier ranges are
+    added. Ranges are even however many terms share a total; the window over
+    them has one row each.
     """
-    terms = totals.select("term", "total", F.substring("term", 1, prefix).alias("_p"))
-    cells = terms.groupBy("total", "_p").agg(F.count(F.lit(1)).alias("_n"))
-    levels = cells.groupBy("total").agg(F.sum("_n").alias("_n"))
-    before = Window.orderBy(F.desc("total")).rowsBetween(Window.unboundedPreceding, -1)
-    higher = levels.select("total", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_higher"))
-    within = Window.partitionBy("total").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = cells.select("total", "_p", F.coalesce(F.sum("_n").over(within), F.lit(0)).alias("_earlier")).join(
-        higher, "total"
-    )
-    place = F.row_number().over(Window.partitionBy("total", "_p").orderBy("term"))
-    ranked = terms.withColumn("_place", place).join(offsets, ["total", "_p"])
-    rank = F.col("_higher") + F.col("_earlier") + F.col("_place")
+    totals = totals.select("term", "total")
+    ranges = int(totals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.desc("total"), F.asc("term")]
+    terms = cut_lineage(totals.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = terms.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = F.broadcast(sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")))
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    ranked = terms.withColumn("_place", place).join(offsets, "_range")
+    rank = F.col("_before") + F.col("_place")
     return ranked.select(
         rank.cast("bigint").alias("rank"),
         "term",

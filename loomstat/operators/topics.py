@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from loomstat.operators.joins import fits_broadcast, lookup_join
 from loomstat.operators.reshape import mean_and_count
-from loomstat.operators.terms import doc_term, limit_terms, tfidf, tokenize, with_words
+from loomstat.operators.terms import df_bound, doc_term, limit_terms, tfidf, tokenize, with_words
 from loomstat.session import cut_lineage
 from loomstat.sources.tables import spread_rows
 
@@ -50,12 +50,10 @@ def doc_vectors(
     the library's IDF is added by scaling with our own weight vector.
     """
     words = with_words(spread_rows(docs.select(key, text), key), text, "_words", **analysis).select(key, "_words")
-    counter = CountVectorizer(
-        inputCol="_words", outputCol="_tf", minDF=float(min_df), maxDF=float(max_df) if max_df > 1 else 2.0**62,
-        vocabSize=VOCABULARY_LIMIT,
-    )
-    if isinstance(max_df, float) and max_df < 1.0:
-        counter.setMaxDF(max_df)
+    n_docs = words.count()
+    # The same bounds as for term tables; counts of documents, so at least 1.
+    low, high = max(df_bound(min_df, n_docs, False), 1), max(df_bound(max_df, n_docs, True), 1)
+    counter = CountVectorizer(inputCol="_words", outputCol="_tf", minDF=float(low), maxDF=float(high), vocabSize=VOCABULARY_LIMIT)
     model = counter.fit(words)
     if len(model.vocabulary) >= VOCABULARY_LIMIT:
         raise ValueError("vocabulary too large for driver-held models; raise min_df or lower max_df")

@@ -9,7 +9,7 @@ from loomstat.operators import classify, clean, diagnostics, evaluate, linear, s
 from loomstat.operators.clean import Attr
 from loomstat.operators.gram import gram, gram_table, grams
 from loomstat.operators.logistic import LogitBatch
-from loomstat.plans.catalog import query, rounded, table
+from loomstat.plans.catalog import STOP_WORDS, query, rounded, table
 from loomstat.plans.clean_queries import HASH_SQL, KEYS, line_key
 from loomstat.sources.tables import keep_packed, spread_rows
 
@@ -419,11 +419,17 @@ def m24_generation_log(spark, d):
 DOC_X = ["n_chars", "n_words", "mean_word", "distinct_ratio", "punct_rate"]
 
 
-def doc_features(spark, d):
+WIDE_X = [
+    *DOC_X, "upper_rate", "digit_rate", "accent_rate", "vowel_rate", "line_rate", "stop_rate", "longest_word", "short_rate", "lang_de", "lang_es", "lang_fr", "source_first",
+]
+
+
+def doc_features(spark, d, wide=False):
     """Per labelled document simple measures of its whole text; label = quality."""
-    labelled = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id")
-    docs = spread_rows(labelled.select("doc_id", "quality", "text", "n_chars"), "doc_id")
-    words = docs.select("doc_id", "quality", "text", F.col("n_chars").cast("double").alias("n_chars"), word_array(F.col("text")).alias("w"))
+    # Spread the bare scan: asking a join for its partitions would run it.
+    scan = spread_rows(table(spark, d, "documents").select("doc_id", "text", "n_chars", "lang", "source"), "doc_id")
+    docs = scan.join(table(spark, d, "labels").select("doc_id", "quality"), "doc_id")
+    words = docs.select("doc_id", "quality", "text", "lang", "source", F.col("n_chars").cast("double").alias("n_chars"), word_array(F.col("text")).alias("w"))
     n = F.size("w").cast("double")
     return words.select(
         "doc_id",
@@ -433,9 +439,24 @@ def doc_features(spark, d):
         (F.length(F.array_join("w", "")) / F.greatest(n, F.lit(1.0))).alias("mean_word"),
         (F.size(F.array_distinct("w")) / F.greatest(n, F.lit(1.0))).alias("distinct_ratio"),
         (F.regexp_count("text", F.lit(r"[^\p{L}\s]")) / F.greatest("n_chars", F.lit(1.0))).alias("punct_rate"),
+        *(_more_features(n) if wide else []),
     )
 
 
+def _more_features(n):
+    """Further measures and the encoded nominal columns of a wide design."""
+    per_char = [("upper_rate", r"\p{Lu}"), ("digit_rate", r"\d"), ("accent_rate", r"[^\x00-\x7F]"), ("vowel_rate", "[aeiouAEIOU]"), ("line_rate", r"\n")]
+    rates = [(F.regexp_count("text", F.lit(p)) / F.greatest("n_chars", F.lit(1.0))).alias(c) for c, p in per_char]
+    stops = F.size(F.filter("w", lambda w: w.isin(STOP_WORDS)))
+    words = [
+        (stops / F.greatest(n, F.lit(1.0))).alias("stop_rate"),
+        F.coalesce(F.array_max(F.transform("w", lambda w: F.length(w))), F.lit(0)).cast("double").alias("longest_word"),
+        (F.size(F.filter("w", lambda w: F.length(w) <= 2)) / F.greatest(n, F.lit(1.0))).alias("short_rate"),
+    ]
+    nominal = [(F.col("lang") == v).cast("double").alias(f"lang_{v}") for v in ("de", "es", "fr")]
+    return [*rates, *words, *nominal, (F.col("source") == "src0").cast("double").alias("source_first")]
+
+
 def _assembled(spark, d, k=5):
     """Standardised feature vectors with stratified folds."""
     amap = {"label": Attr("interval", (0.0, 1.0)), **{x: Attr("interval", (-1e9, 1e9)) for x in DOC_X}}
@@ -474,7 +495,7 @@ def m7_multinomial_logit(spark, d):
         "vec_id", F.col("label").cast("double").alias("label"), array_to_vector(F.col("embedding").cast("array<double>")).alias("features")
     )
     rows, n = keep_packed(rows)
-    model = classify.logit_l2(1.0, n, family="multinomial", max_iter=50).fit(rows)
+    model = classify.logit_l2(1.0, n, family="multinomial").fit(rows)
     return evaluate.confusion(model.transform(rows))
 
 
@@ -486,7 +507,13 @@ def m16_cross_validate(spark, d):
 
 @query()
 def m17_tree_depth_sweep(spark, d):
-    settings = {depth: (lambda depth=depth: classify.decision_tree(depth)) for depth in classify.TREE_DEPTHS[:5]}
+    settings = {depth: (lambda depth=depth: classify.decision_tree(depth)) for depth in classify.TREE_DEPTHS}
+    return evaluate.sweep(_assembled(spark, d)[0], "depth", settings, 5)
+
+
+@query()
+def m17_forest_depth_sweep(spark, d):
+    settings = {depth: (lambda depth=depth: classify.random_forest(depth)) for depth in classify.TREE_DEPTHS}
     return evaluate.sweep(_assembled(spark, d)[0], "depth", settings, 5)
 
 
@@ -532,8 +559,9 @@ def m22_stepwise_logistic(spark, d):
 
 @query()
 def m23_genetic_logistic(spark, d):
-    batch = LogitBatch(doc_features(spark, d), DOC_X, "label")
-    result = selection.genetic_select(selection.LogitFitness(batch, "bic"), DOC_X, n_generation=10)
+    """Best subsets of 17 encoded columns by BIC."""
+    batch = LogitBatch(doc_features(spark, d, wide=True), WIDE_X, "label")
+    result = selection.genetic_select(selection.LogitFitness(batch, "bic"), WIDE_X, n_generation=25)
     batch.close()
     return selection.hall_of_fame(spark, result)
 

@@ -10,7 +10,6 @@ from loomstat.plans.catalog import STOP_WORDS, query, rounded, table
 K = 5
 # Topics are fitted on terms that are neither rare nor everywhere.
 LIMITS = {"min_df": 4, "max_df": 0.5}
-NMF_ROUNDS = 6
 
 
 def _docs(spark, d):
@@ -44,13 +43,13 @@ def t16_topics_svd(spark, d):
 
 @query()
 def t17_topics_nmf(spark, d):
-    found = topics.topics_nmf(_weights(spark, d), "doc_id", K, max_iter=NMF_ROUNDS)
+    found = topics.topics_nmf(_weights(spark, d), "doc_id", K)
     return rounded(topics.topic_terms(found), 4)
 
 
 @query()
 def t18_topics_nmf_kl(spark, d):
-    found = topics.topics_nmf_kl(_weights(spark, d), "doc_id", K, max_iter=NMF_ROUNDS)
+    found = topics.topics_nmf_kl(_weights(spark, d), "doc_id", K)
     return rounded(topics.topic_terms(found), 4)
 
 
@@ -117,7 +116,7 @@ def t22_topic_profile(spark, d):
 
 
 def _clusters(spark, d):
-    return topics.text_clusters_em(_docs(spark, d), "doc_id", k=9, dims=10, max_iter=20, stop_words=STOP_WORDS)
+    return topics.text_clusters_em(_docs(spark, d), "doc_id", k=9, stop_words=STOP_WORDS)
 
 
 @query()

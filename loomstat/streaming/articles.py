@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from loomstat.functions import words
+from loomstat.operators.sentiment import row_sentiment
 
 # Keys already seen are kept on disk rather than in executor memory.
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -52,24 +52,6 @@ def incremental_articles(
     )
 
 
-def row_sentiment(text: Column, lexicon: Mapping[str, float]) -> Column:
-    """Struct (n_words, sentiment) of one text, computed inside the row, so a
-    stream needs no aggregate before the grouping one.
-
-    Hits are found by set membership first; only they look up the map.
-    """
-    entries = sorted((t.lower(), float(s)) for t, s in lexicon.items())
-    listed = [t for t, _ in entries]
-    table = F.create_map(*[F.lit(x) for kv in entries for x in kv])
-
-    def score(hits: Column) -> Column:
-        total = F.aggregate(hits, F.lit(0.0), lambda acc, w: acc + F.element_at(table, w))
-        mean = F.when(F.size(hits) > 0, total / F.size(hits)).otherwise(F.lit(0.0))
-        return F.struct(F.size(hits).cast("bigint").alias("n_words"), mean.alias("sentiment"))
-
-    return words.bind(F.filter(words.word_array(text), lambda w: w.isin(listed)), score)
-
-
 def running_group_sentiment(
     stream: DataFrame, lexicon: Mapping[str, float], group: str, text: str, out_dir: str, checkpoint: str
 ) -> StreamingQuery:

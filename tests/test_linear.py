@@ -162,7 +162,7 @@ def test_generation_log(spark, rows):
     result = selection.genetic_select(selection.LinearFitness(gram.gram(rows, XS, "y")), XS, n_generation=8)
     log = selection.generation_log(spark, result).collect()
     assert [r.generation for r in log] == list(range(9))
-    assert log[0].n_evaluated == 6 and all(r.min <= r.avg + 1e-9 <= r.max + 2e-9 for r in log)
+    assert log[0].n_evaluated == selection.LEAST_POPULATION and all(r.min <= r.avg + 1e-9 <= r.max + 2e-9 for r in log)
     assert log[-1].min == pytest.approx(result.fitness)
 
 
@@ -235,3 +235,38 @@ def test_published_confusion_scores(spark):
     s = evaluate.binary_scores(cells).first()
     assert [round(v, 4) for v in (s.accuracy, s.precision, s.recall, s.specificity, s.f1)] == [0.9161, 0.6640, 0.4396, 0.9733, 0.5290]
     assert s.n_wrong == 447 and round(s.pct_wrong, 1) == 8.4 and round(s.pct_wrong_0, 1) == 2.7 and round(s.pct_wrong_1, 1) == 56.0
+
+
+def test_medians_with_infinities(spark):
+    from loomstat.operators.quantile import exact_medians
+
+    inf = float("inf")
+    values = {"a": [inf, *range(20001)], "b": [-inf] * 3 + [1.0, 2.0], "c": [-inf, inf], "d": [1.0, 5.0, inf, inf], "e": [inf, inf, inf, 1.0], "f": [float("nan"), 4.0]}
+    df = spark.createDataFrame([(s, float(v)) for s, vs in values.items() for v in vs], "s string, v double")
+    got = exact_medians(df, "v", "s")
+    assert got["a"] == 10000.5 and got["b"] == -inf and got["d"] == inf and got["e"] == inf and got["f"] == 4.0
+    assert got["c"] != got["c"]
+
+
+def test_genetic_search_equals_exhaustive_search_on_few_columns(spark):
+    import itertools
+    import random
+
+    from loomstat.operators import selection
+    from loomstat.operators.logistic import LogitBatch
+
+    rng = random.Random(8)
+    rows = []
+    for _ in range(600):
+        x = [rng.gauss(0, 1) for _ in range(5)]
+        z = 1.2 * x[0] - 0.9 * x[2] + 0.5 * x[4] + rng.gauss(0, 1)
+        rows.append((*x, float(z > 0)))
+    names = [f"x{i}" for i in range(5)]
+    frame = spark.createDataFrame(rows, ", ".join(f"{n} double" for n in names) + ", y double")
+    batch = LogitBatch(frame, names, "y")
+    fitness = selection.LogitFitness(batch, "bic")
+    found = selection.genetic_select(fitness, names, n_generation=8)
+    subsets = [tuple(c) for k in range(6) for c in itertools.combinations(range(5), k)]
+    scores = dict(zip(subsets, fitness.score(subsets)))
+    batch.close()
+    assert found.best == min(scores, key=scores.get) and found.distinct > 20

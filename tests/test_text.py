@@ -121,10 +121,10 @@ def corpus(spark):
     return spark.createDataFrame([(i, t.translate(letters)) for i, t in texts], "id int, text string")
 
 
-@pytest.mark.parametrize("part", [1, 64, 10**9])
-def test_term_limits_with_any_hot_share(spark, monkeypatch, part):
-    """Salting some, all or none of the terms changes nothing."""
-    monkeypatch.setattr(terms, "HOT_PART", part)
+@pytest.mark.parametrize("rows", [1, 17, 10**9])
+def test_term_limits_with_any_salts(spark, monkeypatch, rows):
+    """Dealing the rows of a term over many, few or no salts changes nothing."""
+    monkeypatch.setattr(terms, "TERM_ROWS", rows)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         docs = corpus(spark)
@@ -155,7 +155,7 @@ def test_zipf_ranks(spark):
     rng = random.Random(2)
     pairs = {f"{rng.choice('abc')}{rng.choice('xyz')}{i:03d}": rng.randint(1, 5) for i in range(200)}
     df = spark.createDataFrame(list(pairs.items()), "term string, total bigint")
-    got = {r.term: r.rank for r in terms.zipf_table(df, prefix=2).collect()}
+    got = {r.term: r.rank for r in terms.zipf_table(df).collect()}
     want = {t: i for i, (t, _) in enumerate(sorted(pairs.items(), key=lambda kv: (-kv[1], kv[0])), 1)}
     assert got == want
 
@@ -315,3 +315,34 @@ def test_text_clusters(spark, planted):
     sides = {frozenset(r.terms) for r in found.terms.groupBy("cluster").agg(F.collect_set("term").alias("terms")).collect()}
     assert all({"apple", "pear"} <= s or {"iron", "zinc"} <= s for s in sides)
     assert found.distances.count() == 1 and found.distances.first().distance > 1
+
+
+def test_repeated_lookup_keys_are_rejected(spark):
+    from loomstat.operators import reshape
+
+    df = spark.createDataFrame([("a",), ("b",)], "k string")
+    twice = spark.createDataFrame([("a", "x"), ("a", "y")], "f string, t string")
+    with pytest.raises(ValueError, match="more than once"):
+        reshape.map_values(df, "k", twice)
+
+
+def test_row_and_table_sentiment_agree(spark):
+    docs = corpus(spark)
+    lexicon = {"the": 2.0, "ra": -3.0, "wb": 1.0}
+    table = spark.createDataFrame(list(lexicon.items()), "term string, score double")
+    row = sorted(map(str, sentiment.sentiment_scores(docs, lexicon, "id").collect()))
+    assert row == sorted(map(str, sentiment.sentiment_scores(docs, table, "id").collect()))
+
+
+def test_dedup_keeps_the_first_by_hash(spark):
+    from loomstat.operators import reshape
+
+    rows = [(i, "same" if i % 3 else f"t{i % 4}", i % 2) for i in range(50)] + [(77, None, 1), (60, None, 0)]
+    df = spark.createDataFrame(rows, "id long, text string, v int")
+    got = reshape.dedup(df, ["text"], ["id"])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+    want = {}
+    for i, t, v in sorted(rows):
+        want.setdefault(t, (i, t, v))
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want.values(), key=repr)
