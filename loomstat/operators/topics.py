@@ -6,64 +6,35 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 import math
 
-from pyspark.ml.clustering import LDA, GaussianMixture
-from pyspark.ml.feature import CountVectorizer, ElementwiseProduct, IDF
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.ml.clustering import GaussianMixture
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.linalg import Vectors
-from pyspark.mllib.common import callMLlibFunc
-from pyspark.mllib.linalg.distributed import IndexedRowMatrix
-from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from loomstat.operators.joins import fits_broadcast, lookup_join
 from loomstat.operators.reshape import mean_and_count
-from loomstat.operators.terms import df_bound, doc_term, limit_terms, tfidf, tokenize, with_words
+from loomstat.operators.terms import doc_term, limit_terms, tfidf, tokenize
 from loomstat.session import cut_lineage
-from loomstat.sources.tables import spread_rows
 
-# The vocabulary is held by the driver, so its size is bounded and checked.
-VOCABULARY_LIMIT = 1 << 18
+def doc_weights(
+    docs: DataFrame, key: str, text: str = "text", min_df: float | int = 1, max_df: float | int = 1.0, weighted: bool = True, **analysis
+) -> DataFrame:
+    """Long document vectors (key, term, value), weighted tf * (ln((1+n)/(1+df)) + 1) or plain counts.
 
-
-@dataclass
-class DocVectors:
-    """TF-IDF vectors (key, features) with their vocabulary."""
-
-    rows: DataFrame
-    key: str
-    vocabulary: list[str]
-
-
-def doc_vectors(
-    docs: DataFrame,
-    key: str,
-    text: str = "text",
-    min_df: float | int = 1,
-    max_df: float | int = 1.0,
-    weighted: bool = True,
-    **analysis,
-) -> DocVectors:
-    """Sparse document vectors, weighted tf * (ln((1+n)/(1+df)) + 1).
-
-    Counting and weighting use the ML feature transformers; the missing +1 of
-    the library's IDF is added by scaling with our own weight vector.
+    The vocabulary is a column, not a list of the driver, so it may be as large as the corpus makes it.
     """
-    words = with_words(spread_rows(docs.select(key, text), key), text, "_words", **analysis).select(key, "_words")
-    n_docs = words.count()
-    # The same bounds as for term tables; counts of documents, so at least 1.
-    low, high = max(df_bound(min_df, n_docs, False), 1), max(df_bound(max_df, n_docs, True), 1)
-    counter = CountVectorizer(inputCol="_words", outputCol="_tf", minDF=float(low), maxDF=float(high), vocabSize=VOCABULARY_LIMIT)
-    model = counter.fit(words)
-    if len(model.vocabulary) >= VOCABULARY_LIMIT:
-        raise ValueError("vocabulary too large for driver-held models; raise min_df or lower max_df")
-    counted = model.transform(words).select(key, F.col("_tf").alias("features"))
-    if not weighted:
-        return DocVectors(counted, key, model.vocabulary)
-    idf = IDF(inputCol="features", outputCol="_w").fit(counted)
-    weights = Vectors.dense([math.log((1.0 + idf.numDocs) / (1.0 + df)) + 1.0 for df in idf.docFreq])
-    scaled = ElementwiseProduct(scalingVec=weights, inputCol="features", outputCol="_scaled").transform(counted)
-    return DocVectors(scaled.select(key, F.col("_scaled").alias("features")), key, model.vocabulary)
+    n_docs = docs.count()
+    counts = doc_term(tokenize(docs, key, text, **analysis), key)
+    kept = tfidf(limit_terms(counts, key, n_docs, min_df=min_df, max_df=max_df), key, n_docs)
+    return kept.select(key, "term", (F.col("tfidf") if weighted else F.col("tf").cast("double")).alias("value"))
+
+
+TINY = 1e-12
 
 
 @dataclass
@@ -76,50 +47,6 @@ class Topics:
     info: dict = field(default_factory=dict)
 
 
-def _vocabulary_table(vectors: DocVectors) -> DataFrame:
-    spark = vectors.rows.sparkSession
-    return spark.createDataFrame(list(enumerate(vectors.vocabulary)), "_index int, term string")
-
-
-def topics_lda(vectors: DocVectors, k: int, n_terms: int = 15, max_iter: int = 10, offset: float = 10.0, seed: int = 12345) -> Topics:
-    """Online LDA. Takes TF-IDF weights like counts, as the library allows."""
-    lda = LDA(k=k, optimizer="online", maxIter=max_iter, learningOffset=offset, seed=seed, featuresCol="features")
-    model = lda.fit(vectors.rows)
-    docs = model.transform(vectors.rows).select(vectors.key, vector_to_array("topicDistribution").alias("weights"))
-    described = model.describeTopics(min(n_terms, len(vectors.vocabulary))).select(
-        "topic", F.inline(F.arrays_zip("termIndices", "termWeights"))
-    )
-    terms = described.join(_vocabulary_table(vectors), F.col("termIndices") == F.col("_index")).select(
-        "topic", "term", F.col("termWeights").alias("weight")
-    )
-    return Topics(docs, terms, k, {"model": model})
-
-
-def topics_svd(vectors: DocVectors, k: int) -> Topics:
-    """Truncated SVD: document scores (left vectors times singular values) and
-    term loadings (right vectors)."""
-    indexed = MLUtils.convertVectorColumnsFromML(
-        vectors.rows.select(F.col(vectors.key).cast("bigint").alias("index"), F.col("features").alias("vector")), "vector"
-    )
-    svd = IndexedRowMatrix(indexed).computeSVD(k, computeU=True)
-    s = [float(v) for v in svd.s]
-    left = MLUtils.convertVectorColumnsToML(
-        callMLlibFunc("getIndexedRows", svd.U._java_matrix_wrapper._java_model), "vector"
-    )
-    scale = F.array(*[F.lit(v) for v in s])
-    docs = left.select(
-        F.col("index").alias(vectors.key),
-        F.zip_with(vector_to_array("vector"), scale, lambda u, v: u * v).alias("weights"),
-    )
-    loadings = svd.V.toArray()
-    spark = vectors.rows.sparkSession
-    rows = spark.createDataFrame(
-        [(t, [float(x) for x in row]) for t, row in zip(vectors.vocabulary, loadings)], "term string, weights array<double>"
-    )
-    terms = rows.select("term", F.posexplode("weights").alias("topic", "weight")).select("topic", "term", "weight")
-    return Topics(docs, terms, len(s), {"singular_values": s})
-
-
 def _start(key: str, prefix: str, k: int, seed: int, level: float) -> list[Column]:
     """Positive starting values that depend only on the key, so a lost task
     recomputes the same ones."""
@@ -130,7 +57,174 @@ def _start(key: str, prefix: str, k: int, seed: int, level: float) -> list[Colum
     return out
 
 
-TINY = 1e-12
+
+def _digamma(x: np.ndarray) -> np.ndarray:
+    """Recurrence up to 6, then the asymptotic series."""
+    x = np.array(x, dtype=float)
+    out = np.zeros_like(x)
+    while (x < 6).any():
+        low = x < 6
+        out[low] -= 1 / x[low]
+        x[low] += 1
+    f = 1 / (x * x)
+    return out + np.log(x) - 0.5 / x - f * (1 / 12 - f * (1 / 120 - f * (1 / 252 - f * (1 / 240 - f / 132))))
+
+
+def topics_lda(weights: DataFrame, key: str, k: int, max_iter: int = 10, seed: int = 12345, value: str = "value", prior: float | None = None) -> Topics:
+    """Latent Dirichlet allocation by variational Bayes on the long (key, term, value) table.
+
+    Takes TF-IDF weights like counts. The topic-term table has a row per term
+    and never leaves Spark; k sums of it reach the driver. Each round joins
+    the cells with the rows of their terms and fits documents one by one
+    inside tasks, whatever the number of terms. Priors default to 1 / k.
+    """
+    alpha = eta = prior if prior is not None else 1.0 / k
+    cells = cut_lineage(weights.select(F.col(key).alias("doc"), "term", F.col(value).cast("double").alias("v")).filter("v > 0"))
+    names = [f"h{j}" for j in range(k)]
+    table = cut_lineage(cells.select("term").distinct().select("term", *_start("term", "h", k, seed, 1.0)))
+    small = fits_broadcast(table)
+    parts = int(weights.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def fit(rows: DataFrame, sums: list[float], final: bool) -> DataFrame:
+        base = _digamma(np.array(sums))
+
+        def document(terms, v, rate):
+            beta = np.exp(_digamma(rate) - base)
+            gamma = np.full(k, alpha + v.sum() / k)
+            for _ in range(100):
+                theta = np.exp(_digamma(gamma) - _digamma(gamma.sum()))
+                share = v / (beta @ theta + TINY)
+                before, gamma = gamma, alpha + theta * (share @ beta)
+                if np.abs(gamma - before).mean() < 1e-3:
+                    break
+            theta = np.exp(_digamma(gamma) - _digamma(gamma.sum()))
+            return gamma, theta * beta * (v / (beta @ theta + TINY))[:, None]
+
+        def documents(batches):
+            rest = None
+            for batch in batches:
+                now = batch.to_pandas()
+                now = now if rest is None else pd.concat([rest, now], ignore_index=True)
+                if not len(now):
+                    continue
+                last = now["doc"].iloc[-1]
+                done, rest = now[now["doc"] != last], now[now["doc"] == last]
+                yield from results(done)
+            if rest is not None:
+                yield from results(rest)
+
+        def results(frame):
+            docs_out, terms_out, values = [], [], []
+            for doc, rows_of in frame.groupby("doc", sort=False):
+                gamma, found = document(rows_of["term"], rows_of["v"].to_numpy(), rows_of[names].to_numpy())
+                if final:
+                    docs_out.append(doc)
+                    values.append(gamma / gamma.sum())
+                else:
+                    terms_out += rows_of["term"].tolist()
+                    values.append(found)
+            matrix = np.concatenate([np.atleast_2d(m) for m in values]) if values else np.zeros((0, k))
+            first = pa.array(docs_out, doc_kind) if final else pa.array(terms_out, pa.string())
+            yield pa.RecordBatch.from_arrays([first, *[pa.array(matrix[:, j]) for j in range(k)]], ["doc" if final else "term", *names])
+
+        doc_type = rows.schema["doc"].dataType
+        doc_kind = to_arrow_type(doc_type)
+        schema = T.StructType([T.StructField("doc", doc_type) if final else T.StructField("term", T.StringType()), *[T.StructField(c, T.DoubleType()) for c in names]])
+        placed = lookup_join(rows, table, "term", "inner", bounded=small).select("doc", "term", "v", *names)
+        return placed.repartition(parts, "doc").sortWithinPartitions("doc").mapInArrow(documents, schema)
+
+    def sums() -> list[float]:
+        return list(table.agg(*[F.sum(c) for c in names]).first())
+
+    for _ in range(max_iter):
+        found = fit(cells, sums(), False).groupBy("term").agg(*[(F.sum(c) + eta).alias(c) for c in names])
+        table = cut_lineage(found)
+    total = sums()
+    docs = fit(cells, total, True).select(F.col("doc").alias(key), F.array(*names).alias("weights"))
+    shares = F.array(*[F.col(c) / F.lit(t) for c, t in zip(names, total)])
+    terms = table.select("term", F.posexplode(shares).alias("topic", "weight")).select("topic", "term", "weight")
+    return Topics(docs, terms, k)
+
+
+def topics_svd(
+    weights: DataFrame, key: str, k: int, value: str = "value", rounds: int = 30, extra: int = 8, tol: float = 1e-7, seed: int = 12345, start: Column | None = None
+) -> Topics:
+    """Truncated SVD: document scores (left vectors times singular values) and
+    term loadings (right vectors).
+
+    Subspace iteration on the long (key, term, value) table with ``extra``
+    spare directions: both factors are tables, each step one join and one
+    sum, and only small square matrices reach the driver. It ends when the singular
+    values settle, or after ``rounds``. ``start`` gives every term the same
+    kind of starting value in place of the seeded ones (then without spares).
+    Signs are such that the loadings of every direction add up to at least 0.
+    """
+    cells = cut_lineage(weights.select(F.col(key).alias("doc"), "term", F.col(value).cast("double").alias("v")))
+    size = cells.agg(F.count_distinct("doc"), F.count_distinct("term")).first()
+    width = max(min(k + (0 if start is not None else extra), size[0], size[1]), 1)
+    k = min(k, width)
+    names = [f"c{j}" for j in range(width)]
+    first = [F.lit(1.0) * start] * width if start is not None else [c - 0.5 for c in _start("term", "c", width, seed, 1.0)]
+    right = cut_lineage(cells.select("term").distinct().select("term", *[c.alias(n) for c, n in zip(first, names)]))
+    small = fits_broadcast(right)
+
+    def times(table: DataFrame, on: str, to: str) -> DataFrame:
+        """The matrix (or its transpose) times a factor."""
+        joined = lookup_join(cells, table, "term", "inner", bounded=small) if on == "term" else cells.join(table, on)
+        return cut_lineage(joined.groupBy(to).agg(*[F.sum(F.col("v") * F.col(c)).alias(c) for c in names]))
+
+    def block(batch: pa.RecordBatch) -> np.ndarray:
+        return np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns[-width:]])
+
+    def square(table: DataFrame) -> np.ndarray:
+        """The small matrix of products of a factor's columns, summed per task first."""
+
+        def partial(batches):
+            total = np.zeros((width, width))
+            for batch in batches:
+                rows = block(batch)
+                total += rows.T @ rows
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(width * width)), pa.array(total.ravel())], ["cell", "v"])
+
+        sums = table.select(*names).mapInArrow(partial, "cell long, v double").groupBy("cell").agg(F.sum("v").alias("v")).collect()
+        out = np.zeros(width * width)
+        for row in sums:
+            out[row["cell"]] = row["v"]
+        return out.reshape(width, width)
+
+    def mixed(table: DataFrame, on: str, matrix: np.ndarray) -> DataFrame:
+        """A factor times a small matrix."""
+
+        def turned(batches):
+            for batch in batches:
+                rows = block(batch) @ matrix
+                yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(rows[:, j]) for j in range(width)]], [on, *names])
+
+        schema = T.StructType([T.StructField(on, table.schema[on].dataType), *[T.StructField(c, T.DoubleType()) for c in names]])
+        return table.select(on, *names).mapInArrow(turned, schema)
+
+    def orthonormal(table: DataFrame, on: str) -> DataFrame:
+        values, vectors = np.linalg.eigh(square(table))
+        keep = values > values.max(initial=0.0) * 1e-14
+        scale = np.where(keep, 1 / np.sqrt(np.where(keep, values, 1.0)), 0.0)
+        return mixed(table, on, vectors * scale)
+
+    before = np.zeros(k)
+    for _ in range(rounds):
+        left = orthonormal(times(right, "term", "doc"), "doc")
+        right = times(left, "doc", "term")
+        values, vectors = np.linalg.eigh(square(right))
+        order = np.argsort(-values)
+        singular = np.sqrt(values[order].clip(0))
+        if np.abs(singular[:k] - before).max(initial=0.0) <= tol * max(singular[0], TINY):
+            break
+        before = singular[:k]
+    turn = vectors[:, order]
+    sums = right.agg(*[F.sum(c) for c in names]).first()
+    turn = turn * np.where(np.array([v or 0.0 for v in sums]) @ turn < 0, -1.0, 1.0)
+    docs = mixed(left, "doc", turn * singular).select(F.col("doc").alias(key), F.array(*names[:k]).alias("weights"))
+    loadings = mixed(right, "term", turn / np.maximum(singular, TINY)).select("term", F.posexplode(F.array(*names[:k])).alias("topic", "weight"))
+    return Topics(docs, loadings.select("topic", "term", "weight"), k, {"singular_values": singular[:k].tolist()})
 
 
 def _nmf(
@@ -281,19 +375,19 @@ def text_clusters_em(
     """Cluster documents by expectation-maximisation on their leading SVD
     scores of IDF weights; describe each cluster by the terms whose mean
     weight is most above the corpus mean."""
-    vectors = doc_vectors(docs, key, text, min_df=min_df, **analysis)
-    vectors.rows.persist()
-    dims = min(dims, len(vectors.vocabulary) - 1)
-    scores = topics_svd(vectors, dims).docs.select(key, array_to_vector("weights").alias("features")).persist()
+    weights = cut_lineage(doc_weights(docs, key, text, min_df=min_df, **analysis))
+    found = topics_svd(weights, key, dims)
+    # Documents without a kept term have no row in the factor and score zero.
+    empty = F.array(*[F.lit(0.0)] * found.k)
+    every = docs.select(key).join(found.docs, key, "left").select(key, F.coalesce("weights", empty).alias("weights"))
+    scores = cut_lineage(every).select(key, array_to_vector("weights").alias("features"))
     model = GaussianMixture(k=k, maxIter=max_iter, seed=seed).fit(scores)
     assigned = model.transform(scores).select(
         key, F.col("prediction").alias("cluster"), F.array_max(vector_to_array("probability")).alias("prob")
     )
     sizes = topic_counts(assigned, k, "cluster").withColumnRenamed("topic", "cluster")
     n_docs = docs.count()
-    counts = doc_term(tokenize(docs, key, text, **analysis), key)
-    weights = tfidf(limit_terms(counts, key, n_docs, min_df=min_df), key, n_docs)
-    placed = weights.join(assigned.select(key, "cluster"), key).groupBy("cluster", "term").agg(F.sum("tfidf").alias("w"))
+    placed = weights.join(assigned.select(key, "cluster"), key).groupBy("cluster", "term").agg(F.sum("value").alias("w"))
     overall = placed.groupBy("term").agg(F.sum("w").alias("all_w"))
     lift = (
         placed.join(overall, "term")

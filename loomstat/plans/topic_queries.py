@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loomstat.operators import terms, topics
-from loomstat.plans.catalog import STOP_WORDS, query, rounded, table
+from loomstat.plans.catalog import STOP_WORDS, WORDS_SQL, query, rounded, table
 
 K = 5
 # Topics are fitted on terms that are neither rare nor everywhere.
@@ -17,9 +17,7 @@ def _docs(spark, d):
 
 
 def _lda(spark, d, k=K):
-    vectors = topics.doc_vectors(_docs(spark, d), "doc_id", stop_words=STOP_WORDS, **LIMITS)
-    vectors.rows.persist()
-    return topics.topics_lda(vectors, k)
+    return topics.topics_lda(topics.doc_weights(_docs(spark, d), "doc_id", stop_words=STOP_WORDS, **LIMITS), "doc_id", k)
 
 
 def _weights(spark, d):
@@ -37,8 +35,27 @@ def t15_topics_lda(spark, d):
 
 @query()
 def t16_topics_svd(spark, d):
-    vectors = topics.doc_vectors(_docs(spark, d), "doc_id", stop_words=STOP_WORDS, **LIMITS)
-    return rounded(topics.prob_columns(topics.topics_svd(vectors, K).docs, K, prefix="score"), 4)
+    weights = topics.doc_weights(_docs(spark, d), "doc_id", stop_words=STOP_WORDS, **LIMITS)
+    return rounded(topics.prob_columns(topics.topics_svd(weights, "doc_id", K).docs, K, prefix="score"), 4)
+
+
+STEP_SQL = """(SELECT doc_id, sum(v * w) AS u FROM cells JOIN {w} USING (term) GROUP BY doc_id)"""
+
+
+@query(
+    f"""WITH cells AS (SELECT doc_id, term, CAST(count(*) AS DOUBLE) AS v FROM (SELECT doc_id, {WORDS_SQL} AS term FROM documents) GROUP BY ALL),
+        w0 AS (SELECT DISTINCT term, CAST(1 AS DOUBLE) AS w FROM cells),
+        u1 AS {STEP_SQL.format(w='w0')}, n1 AS (SELECT sqrt(sum(u * u)) AS n FROM u1),
+        w1 AS (SELECT term, sum(v * u / n) AS w FROM cells JOIN u1 USING (doc_id), n1 GROUP BY term),
+        u2 AS {STEP_SQL.format(w='w1')}, n2 AS (SELECT sqrt(sum(u * u)) AS n FROM u2),
+        w2 AS (SELECT term, sum(v * u / n) AS w FROM cells JOIN u2 USING (doc_id), n2 GROUP BY term)
+        SELECT doc_id, round(u / n2.n * (SELECT sqrt(sum(w * w)) FROM w2), 4) AS score1 FROM u2, n2"""
+)
+def t16_svd_power_steps(spark, d):
+    """Two steps towards the first direction of the count matrix, from a start of ones."""
+    counts = topics.doc_weights(_docs(spark, d), "doc_id", weighted=False)
+    found = topics.topics_svd(counts, "doc_id", 1, rounds=2, tol=0.0, start=F.lit(1.0))
+    return rounded(topics.prob_columns(found.docs, 1, prefix="score"), 4)
 
 
 @query()
@@ -53,6 +70,22 @@ def t18_topics_nmf_kl(spark, d):
     return rounded(topics.topic_terms(found), 4)
 
 
+RULE_TERMS_SQL = f"""SELECT topic, term, sum(share) AS weight FROM (
+        SELECT d.topic, w.term, CAST(1 AS DOUBLE) AS share FROM (SELECT doc_id, doc_id % 3 AS topic FROM documents) d
+        JOIN (SELECT doc_id, {WORDS_SQL} AS term FROM documents) w USING (doc_id)) GROUP BY ALL"""
+
+
+@query(
+    f"""SELECT CAST(topic AS INTEGER) AS topic, CAST(place AS INTEGER) AS place, term, weight FROM (
+        SELECT *, row_number() OVER (PARTITION BY topic ORDER BY weight DESC, term) AS place FROM ({RULE_TERMS_SQL})) WHERE place <= 15"""
+)
+def t19_topic_terms_rule(spark, d):
+    """Heaviest terms of three rule topics: word counts by remainder of the id."""
+    counts = topics.doc_weights(_docs(spark, d), "doc_id", weighted=False)
+    table_ = counts.groupBy((F.col("doc_id") % 3).cast("int").alias("topic"), "term").agg(F.sum("value").alias("weight"))
+    return topics.topic_terms(topics.Topics(table_, table_, 3))
+
+
 @query()
 def t19_topic_terms(spark, d):
     return rounded(topics.topic_terms(_lda(spark, d)), 4)

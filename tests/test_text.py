@@ -291,18 +291,19 @@ def test_nmf_finds_planted_topics(spark, planted, kl):
 
 
 def test_lda_and_svd(spark, planted):
-    vectors = topics.doc_vectors(planted, "id")
-    matrix = np.zeros((60, len(vectors.vocabulary)))
-    for r in vectors.rows.collect():
-        matrix[r.id] = r.features.toArray()
-    idf = {t: math.log(61 / (1 + sum(t in r.text.split() for r in planted.collect()))) + 1 for t in vectors.vocabulary}
+    vectors = topics.doc_weights(planted, "id")
+    vocabulary = sorted({r.term for r in vectors.collect()})
+    matrix = np.zeros((60, len(vocabulary)))
+    for r in vectors.collect():
+        matrix[r.id, vocabulary.index(r.term)] = r.value
+    idf = {t: math.log(61 / (1 + sum(t in r.text.split() for r in planted.collect()))) + 1 for t in vocabulary}
     first = planted.filter("id = 0").first().text.split()
-    assert np.allclose(matrix[0], [first.count(t) * idf[t] for t in vectors.vocabulary])
-    svd = topics.topics_svd(vectors, 3)
+    assert np.allclose(matrix[0], [first.count(t) * idf[t] for t in vocabulary])
+    svd = topics.topics_svd(vectors, "id", 3)
     assert np.allclose(svd.info["singular_values"], np.linalg.svd(matrix)[1][:3], rtol=1e-6)
     scores = np.array([r.weights for r in svd.docs.orderBy("id").collect()])
     assert np.allclose(np.abs(scores), np.abs((np.linalg.svd(matrix, full_matrices=False)[0] * np.linalg.svd(matrix)[1][:8])[:, :3]), atol=1e-5)
-    lda = topics.topics_lda(vectors, 2, max_iter=30)
+    lda = topics.topics_lda(vectors, "id", 2, max_iter=30)
     assert all(abs(sum(r.weights) - 1) < 1e-9 for r in lda.docs.collect())
     groups = sides_of(topics.topic_assign(lda.docs, "id"))
     assert all(len(g) == 1 for g in groups.values()) and groups[0] != groups[1]
