@@ -466,6 +466,22 @@ def _assembled(spark, d, k=5):
     return keep_packed(evaluate.kfold(rows, "doc_id", k, stratify="label"))
 
 
+# With one 0/1 predictor the logit has a closed form: log odds, and sums of reciprocal cell counts.
+ONE_FACTOR_SQL = """WITH c AS (SELECT CAST(count_if(x = 0 AND y = 0) AS DOUBLE) AS n00, CAST(count_if(x = 0 AND y = 1) AS DOUBLE) AS n01,
+        CAST(count_if(x = 1 AND y = 0) AS DOUBLE) AS n10, CAST(count_if(x = 1 AND y = 1) AS DOUBLE) AS n11
+        FROM (SELECT CAST(l_quantity > 25 AS INTEGER) AS x, CAST(l_returnflag = 'R' AS INTEGER) AS y FROM lineitem))
+    SELECT 'const' AS term, round(ln(n01 / n00), 4) AS coef, round(sqrt(1 / n01 + 1 / n00), 4) AS std_err FROM c
+    UNION ALL SELECT 'large', round(ln(n11 / n10) - ln(n01 / n00), 4), round(sqrt(1 / n00 + 1 / n01 + 1 / n10 + 1 / n11), 4) FROM c"""
+
+
+@query(ONE_FACTOR_SQL)
+def m6_logit_one_factor(spark, d):
+    items = table(spark, d, "lineitem")
+    rows = items.select((F.col("l_quantity") > 25).cast("double").alias("large"), (F.col("l_returnflag") == "R").cast("double").alias("returned"))
+    model = classify.logit(rows, "returned", ["large"])
+    return rounded(classify.logit_coefficients(spark, model, ["large"]).select("term", "coef", "std_err"), 4)
+
+
 @query()
 def m6_logit(spark, d):
     rows, _ = keep_packed(doc_features(spark, d))
