@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,8 +42,12 @@ def dedup(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
         marked = df.withColumn("_digest", F.unhex(F.sha2(F.concat(*parts), 256)))
         lowest = F.when(F.count_if(F.col(order[0]).isNull()) > 0, F.lit(None)).otherwise(F.min(order[0]))
         first = marked.groupBy("_digest").agg(lowest.alias("_first")).withColumnRenamed("_digest", "_of")
-        won = (F.col("_digest") == F.col("_of")) & F.col(order[0]).eqNullSafe(F.col("_first"))
-        return marked.join(first, won).select(*df.columns)
+        # "At most the least" is "equal" written so that the join is by digest alone; rows tied in ``order`` are in one
+        # partition then, and one of them stays.
+        least = (F.col(order[0]) <= F.col("_first")) | (F.col("_first").isNull() & F.col(order[0]).isNull())
+        won = marked.join(first, (F.col("_digest") == F.col("_of")) & least)
+        tied = Window.partitionBy("_digest").orderBy(F.xxhash64(*df.columns))
+        return won.withColumn("_tie", F.row_number().over(tied)).filter("_tie = 1").select(*df.columns)
     first = F.min_by(F.struct(*rest), F.struct(*order)).alias("_row")
     out = df.groupBy(*key).agg(first).select(*key, "_row.*")
     return out.select(*df.columns)

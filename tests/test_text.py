@@ -338,7 +338,7 @@ def test_row_and_table_sentiment_agree(spark):
 def test_dedup_keeps_the_first_by_hash(spark):
     from loomstat.operators import reshape
 
-    rows = [(i, "same" if i % 3 else f"t{i % 4}", i % 2) for i in range(50)] + [(77, None, 1), (60, None, 0)]
+    rows = [(i, "same" if i % 3 else f"t{i % 4}", i % 2) for i in range(50)] + [(77, None, 1), (60, None, 0), (0, "t0", 0), (0, "t0", 0)]
     df = spark.createDataFrame(rows, "id long, text string, v int")
     got = reshape.dedup(df, ["text"], ["id"])
     plan = got._jdf.queryExecution().executedPlan().toString()
