@@ -29,9 +29,8 @@ CHUNK = 65_536
 LINKS = 12
 BUILD_BEAM = 48
 FIRST_BEAM = 32
-# Queries of a chunk that are audited against brute force, queries of a wide group that widen, and queries searched at a time.
+# Queries of a chunk that are audited against brute force, and queries compared at a time.
 AUDITS = 256
-PROBES = 16
 BATCH = 256
 # Single-precision similarities only propose links.
 SLACK = 1e-4
@@ -172,11 +171,10 @@ class ShardLinks:
     """Links between the queries of a chunk and the members of a shard.
 
     Searches propose links, cosines in double precision confirm them, and
-    confirmed links make groups. Inside a group every query then meets every
-    member in double precision, so a search has to find the way into a group but
-    not each of its members. A query whose whole beam lies within the
-    threshold shows a group wider than the beam: some such queries of each
-    group widen their beams until they reach past the threshold.
+    confirmed links make groups. A query whose whole beam lies within the
+    threshold may have more links than the beam holds, in or out of its group,
+    so it meets every member of the shard in double precision. Every other
+    query then meets every member of its group.
     """
 
     def __init__(self, ids: np.ndarray, copies: np.ndarray, draws: np.ndarray, vectors: np.ndarray, threshold: float):
@@ -204,25 +202,33 @@ class ShardLinks:
                 edges.append((a, b))
         return len(edges) - before
 
-    def groups(self, query_ids: np.ndarray, queries: np.ndarray, width: int) -> tuple[Forest, list]:
-        forest, edges = Forest(), []
-        row, member, full = self.propose(queries, width)
-        self.join(forest, query_ids, row, member, edges)
-        while len(full) and width < len(self.ids):
-            width *= 2
-            roots = np.array([forest.root(i) for i in query_ids[full].tolist()])
-            order = np.argsort(roots, kind="stable")
-            place = np.arange(len(order)) - np.searchsorted(roots[order], roots[order])
-            probes = full[order[place < PROBES]]
-            row, member, still = self.propose(queries[probes], width)
-            self.join(forest, query_ids[probes], row, member, edges)
-            full = probes[still]
-        return forest, edges
-
-    def counts(self, forest: Forest, query_ids: np.ndarray, queries: np.ndarray) -> np.ndarray:
-        """Links of every query, itself left out, from all pairs inside each group."""
-        n_links = np.zeros(len(query_ids), dtype=np.int64)
-        mine = np.array([forest.root(i) for i in query_ids.tolist()])
+    def compare(self, forest: Forest, edges: list, query_ids: np.ndarray, queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Links of the queries at ``rows`` from all members of the shard; each joins the groups of all it links with."""
+        n_links = np.zeros(len(rows), dtype=np.int64)
+        theirs = None
+        for low in range(0, len(rows), BATCH):
+            part = rows[low : low + BATCH]
+            near = queries[part] @ self.vectors.T >= self.threshold
+            near &= query_ids[part][:, None] != self.ids[None, :]
+            n_links[low : low + BATCH] = near @ self.copies
+            if theirs is None:
+                theirs = np.array([forest.root(i) for i in self.ids.tolist()])
+            mine = np.array([forest.root(i) for i in query_ids[part].tolist()])
+            cross = near & (theirs[None, :] != mine[:, None])
+            found = 0
+            for k in np.nonzero(cross.any(axis=1))[0]:
+                # One member of each other group is enough to join it.
+                member = np.nonzero(cross[k])[0]
+                member = member[np.unique(theirs[member], return_index=True)[1]]
+                found += self.join(forest, query_ids, np.repeat(part[k], len(member)), member, edges)
+            if found:
+                theirs = None
+        return n_links
+
+    def counts(self, forest: Forest, query_ids: np.ndarray, queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Links of the queries at ``rows``, each itself left out, from all pairs inside each group."""
+        n_links = np.zeros(len(rows), dtype=np.int64)
+        mine = np.array([forest.root(i) for i in query_ids[rows].tolist()])
         theirs = np.array([forest.root(i) for i in self.ids.tolist()])
         order, member_order = np.argsort(mine, kind="stable"), np.argsort(theirs, kind="stable")
         roots, first = np.unique(mine[order], return_index=True)
@@ -230,26 +236,39 @@ class ShardLinks:
         low, high = (np.searchsorted(theirs[member_order], roots, side) for side in ("left", "right"))
         for k in np.nonzero(high > low)[0]:
             members = member_order[low[k] : high[k]]
-            if last[k] - first[k] == 1 and len(members) == 1 and self.ids[members[0]] == query_ids[order[first[k]]]:
+            if last[k] - first[k] == 1 and len(members) == 1 and self.ids[members[0]] == query_ids[rows[order[first[k]]]]:
                 continue
             for at in range(first[k], last[k], 1024):
-                part = order[at : min(at + 1024, last[k])]
-                near = queries[part] @ self.vectors[members].T >= self.threshold
-                near &= query_ids[part][:, None] != self.ids[members][None, :]
-                n_links[part] = near @ self.copies[members]
+                place = order[at : min(at + 1024, last[k])]
+                near = queries[rows[place]] @ self.vectors[members].T >= self.threshold
+                near &= query_ids[rows[place]][:, None] != self.ids[members][None, :]
+                n_links[place] = near @ self.copies[members]
         return n_links
 
+    def groups(self, query_ids: np.ndarray, queries: np.ndarray, width: int) -> tuple[np.ndarray, list]:
+        """Link counts and a spanning forest with beams of one width."""
+        forest, edges = Forest(), []
+        row, member, full = self.propose(queries, width)
+        self.join(forest, query_ids, row, member, edges)
+        rest = np.setdiff1d(np.arange(len(queries)), full)
+        n_links = np.zeros(len(queries), dtype=np.int64)
+        n_links[full] = self.compare(forest, edges, query_ids, queries, full)
+        n_links[rest] = self.counts(forest, query_ids, queries, rest)
+        return n_links, edges
+
     def resolve(self, query_ids: np.ndarray, queries: np.ndarray, audited: np.ndarray) -> tuple[np.ndarray, list]:
-        """Link counts and a spanning forest; beams double until the audited queries have all their links."""
+        """Link counts and a spanning forest; beams double until the audited queries have all their links, and a beam as wide as
+        the shard gives way to all pairs."""
         width = FIRST_BEAM
         near = queries[audited] @ self.vectors.T >= self.threshold
         truth = (near & (query_ids[audited][:, None] != self.ids[None, :])) @ self.copies
-        while True:
-            forest, edges = self.groups(query_ids, queries, width)
-            n_links = self.counts(forest, query_ids, queries)
-            if (n_links[audited] == truth).all() or width >= len(self.ids):
+        while width < len(self.ids):
+            n_links, edges = self.groups(query_ids, queries, width)
+            if (n_links[audited] == truth).all():
                 return n_links, edges
             width *= 2
+        edges = []
+        return self.compare(Forest(), edges, query_ids, queries, np.arange(len(queries))), edges
 
 
 def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[np.ndarray], list[np.ndarray]]]:

@@ -92,3 +92,24 @@ def test_one_large_group():
     n_links, edges = shard.resolve(ids, x, ids[::50])
     assert (n_links == (x @ x.T >= vg.THRESHOLD).sum(axis=1) - 1).all()
     assert len(edges) == 699
+
+
+def test_bridged_clusters():
+    """Two regions, each denser than a beam, joined by one pair that neither probes nor audits see."""
+    rng = np.random.default_rng(5)
+
+    # The centres are 40 degrees apart, so only the bridging vectors at 10 and 30 link across (the cosine of 20 degrees is 0.94).
+    def at(degrees, n, spread):
+        a = np.radians(degrees)
+        x = np.cos(a) * np.eye(32)[0] + np.sin(a) * np.eye(32)[1] + rng.normal(size=(n, 32)) * spread
+        return x / np.linalg.norm(x, axis=1)[:, None]
+
+    x = np.concatenate([at(0, 200, 0.012), at(40, 200, 0.012), at(10, 1, 0), at(30, 1, 0), rng.normal(size=(300, 32))])
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    near = x @ x.T >= vg.THRESHOLD
+    assert near[400, 401] and not near[:200, 200:400].any() and near[:200, :200].all() and near[400, :200].all() and near[401, 200:400].all()
+    ids = np.arange(len(x))
+    shard = vg.ShardLinks(ids, np.ones(len(x), dtype=np.int64), rng.random(len(x)), x, vg.THRESHOLD)
+    n_links, edges = shard.resolve(ids, x, ids[:100])
+    assert (n_links == near.sum(axis=1) - 1).all()
+    assert len(edges) == 401
