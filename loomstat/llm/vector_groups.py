@@ -2,14 +2,16 @@
 
 Vectors that may link (equal labels) are dealt into shards of bounded size. A
 task holds the graph of one shard and a bounded chunk of the queries; every
-vector of the label queries every shard. Beams widen until audits against brute
-force find every link, cosines are verified in double precision, and links are
-reduced to a spanning forest before components are formed.
+vector of the label queries every shard. A search whose audit against brute
+force misses a link gives way to all pairs, cosines are verified in double
+precision, and links are reduced to a spanning forest before components are
+formed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -25,12 +27,14 @@ THRESHOLD = 0.93
 # Vectors per graph, and queries per task and graph.
 SHARD = 8192
 CHUNK = 65_536
-# Links per node (twice as many on the ground layer), beam while building and first beam while searching.
+# Links per node (twice as many on the ground layer), beam while building and beam while searching.
 LINKS = 12
 BUILD_BEAM = 48
-FIRST_BEAM = 32
-# Queries of a chunk that are audited against brute force, and queries compared at a time.
+BEAM = 32
+# Queries of a chunk that are audited against brute force: at least so many, and until so many of them had links that a
+# beam can hold; queries compared at a time.
 AUDITS = 256
+AUDIT_LINKED = 4096
 BATCH = 256
 # Single-precision similarities only propose links.
 SLACK = 1e-4
@@ -178,8 +182,11 @@ class ShardLinks:
     """
 
     def __init__(self, ids: np.ndarray, copies: np.ndarray, draws: np.ndarray, vectors: np.ndarray, threshold: float):
-        self.ids, self.copies, self.vectors, self.threshold = ids, copies, vectors, threshold
-        self.graph = Graph(vectors, draws)
+        self.ids, self.copies, self.draws, self.vectors, self.threshold = ids, copies, draws, vectors, threshold
+
+    @cached_property
+    def graph(self) -> Graph:
+        return Graph(self.vectors, self.draws)
 
     def propose(self, queries: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Confirmed pairs (row, member) of a beam search, and the rows whose beam did not reach past the threshold."""
@@ -256,17 +263,27 @@ class ShardLinks:
         n_links[rest] = self.counts(forest, query_ids, queries, rest)
         return n_links, edges
 
-    def resolve(self, query_ids: np.ndarray, queries: np.ndarray, audited: np.ndarray) -> tuple[np.ndarray, list]:
-        """Link counts and a spanning forest; beams double until the audited queries have all their links, and a beam as wide as
-        the shard gives way to all pairs."""
-        width = FIRST_BEAM
-        near = queries[audited] @ self.vectors.T >= self.threshold
-        truth = (near & (query_ids[audited][:, None] != self.ids[None, :])) @ self.copies
-        while width < len(self.ids):
-            n_links, edges = self.groups(query_ids, queries, width)
-            if (n_links[audited] == truth).all():
-                return n_links, edges
-            width *= 2
+    def resolve(self, query_ids: np.ndarray, queries: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, list]:
+        """Link counts and a spanning forest, by search if it finds all links of the audited queries, or else from all pairs.
+
+        Audited are the queries at ``order``, one batch after the other, until
+        AUDITS have been seen and AUDIT_LINKED of them had links, but fewer than
+        the beam holds: queries with more are compared with all members
+        anyway. Where such links are rare the audit meets every query and is
+        itself the result.
+        """
+        forest, edges, truth, linked = Forest(), [], np.zeros(0, dtype=np.int64), 0
+        while len(truth) < len(order) and (len(truth) < AUDITS or linked < AUDIT_LINKED):
+            more = self.compare(forest, edges, query_ids, queries, order[len(truth) : len(truth) + BATCH])
+            linked += int(((more > 0) & (more < BEAM)).sum())
+            truth = np.concatenate([truth, more])
+        if len(truth) == len(queries):
+            n_links = np.zeros(len(queries), dtype=np.int64)
+            n_links[order] = truth
+            return n_links, edges
+        n_links, edges = self.groups(query_ids, queries, BEAM)
+        if (n_links[order[: len(truth)]] == truth).all():
+            return n_links, edges
         edges = []
         return self.compare(Forest(), edges, query_ids, queries, np.arange(len(queries))), edges
 
@@ -303,10 +320,10 @@ def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[np.ndarray]
 
 
 def shard_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks of (key, query, vec_id, copies, draw, vector) to rows (vec_id, n_links, other): links counted per query, and a
-    spanning forest of them in ``other``."""
-    for members, (query_ids, _, draws, vectors) in blocks(batches):
-        n_links, edges = ShardLinks(*members, THRESHOLD).resolve(query_ids, vectors, np.argsort(draws, kind="stable")[:AUDITS])
+    """Blocks of (key, query, vec_id, copies, draw, audit, vector) to rows (vec_id, n_links, other): links counted per query, and a
+    spanning forest of them in ``other``. ``draw`` decides the layer of a member, ``audit`` the order of audits."""
+    for (ids, copies, draws, _, known), (query_ids, _, _, audits, vectors) in blocks(batches):
+        n_links, edges = ShardLinks(ids, copies, draws, known, THRESHOLD).resolve(query_ids, vectors, np.argsort(audits, kind="stable"))
         pairs = np.array(edges, dtype=np.int64).reshape(-1, 2)
         some = n_links > 0
         yield pa.RecordBatch.from_arrays(
@@ -357,7 +374,8 @@ def group_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "
     members = dealt.withColumn("at", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(F.concat_ws("|", "part", own_shard, "at").alias("key"), F.lit(0).alias("query"), "node", "copies", "unit")
     queries = dealt.withColumn("at", F.explode(F.sequence(F.lit(0), F.col("shards") - 1))).select(F.concat_ws("|", "part", "at", own_chunk).alias("key"), F.lit(1).alias("query"), "node", "copies", "unit")
     draw = F.pmod(F.xxhash64(F.lit("draw"), "node"), F.lit(1 << 40)) / float(1 << 40)
-    rows = members.union(queries).select("key", "query", "node", "copies", draw.alias("draw"), "unit")
+    audit = F.xxhash64(F.lit("audit"), "node")
+    rows = members.union(queries).select("key", "query", "node", "copies", draw.alias("draw"), audit.alias("audit"), "unit")
     parts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sorted_rows = rows.repartition(parts, "key").sortWithinPartitions("key", "query", "node")
     found = cut_lineage(sorted_rows.mapInArrow(shard_links, "vec_id long, n_links long, other long"))

@@ -1,6 +1,7 @@
 """Links and groups against all pairs."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from loomstat.llm import vector_groups as vg
@@ -113,3 +114,43 @@ def test_bridged_clusters():
     n_links, edges = shard.resolve(ids, x, ids[:100])
     assert (n_links == near.sum(axis=1) - 1).all()
     assert len(edges) == 401
+
+
+def test_sparse_pairs():
+    """All pairs of a full shard are found although few queries have a link and the rest lie just below the threshold."""
+    rng = np.random.default_rng(7)
+    g = rng.normal(size=(vg.SHARD, 256))
+    g /= np.linalg.norm(g, axis=1)[:, None]
+    g[-32:] = 0.6 * g[:32] + 0.8 * g[-32:]
+    x = np.eye(256)[0] + 0.38 * g
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    want = (x @ x.T >= vg.THRESHOLD).sum(axis=1) - 1
+    assert (want > 0).sum() == 64 and want.max() == 1
+    ids, draws = np.arange(len(x)), np.random.default_rng(8).random(len(x))
+    # None of the pairs is above ground.
+    draws[want > 0] = 0.5
+    batch = pa.RecordBatch.from_arrays(
+        [
+            pa.array(["k"] * 2 * len(x)), pa.array(np.repeat([0, 1], len(x))), pa.array(np.tile(ids, 2)), pa.array(np.ones(2 * len(x), dtype=np.int64)),
+            pa.array(np.tile(draws, 2)), pa.array(np.tile(np.random.default_rng(9).permutation(len(x)), 2)), pa.array([*x, *x], pa.list_(pa.float64())),
+        ],
+        ["key", "query", "node", "copies", "draw", "audit", "unit"],
+    )
+    got = np.zeros(len(x), dtype=np.int64)
+    for out in vg.shard_links(iter([batch])):
+        np.add.at(got, out.column(0).to_numpy(), out.column(1).to_numpy())
+    assert (got == want).all()
+
+
+def test_missed_link_means_all_pairs(monkeypatch):
+    """A search that an audited query shows to miss a link is not used."""
+    monkeypatch.setattr(vg, "AUDITS", 20)
+    monkeypatch.setattr(vg, "AUDIT_LINKED", 20)
+    monkeypatch.setattr(vg, "BATCH", 20)
+    monkeypatch.setattr(vg.ShardLinks, "groups", lambda self, ids, queries, width: (np.zeros(len(ids), dtype=np.int64), []))
+    rng = np.random.default_rng(4)
+    x = np.repeat(rng.normal(size=(100, 16)), 2, axis=0) + rng.normal(size=(200, 16)) * 0.01
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    ids = np.arange(200)
+    n_links, edges = vg.ShardLinks(ids, np.ones(200, dtype=np.int64), rng.random(200), x, vg.THRESHOLD).resolve(ids, x, rng.permutation(200))
+    assert (n_links == (x @ x.T >= vg.THRESHOLD).sum(axis=1) - 1).all() and len(edges) == 100
