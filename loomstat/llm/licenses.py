@@ -26,7 +26,29 @@ THRESHOLD = 0.75
 WORD = r"[a-z0-9]++(?:[.+-][a-z0-9]++)*+"
 LICENSE_FILE = r"(?i)^(?:un)?licen[cs]e(?:[.-].*)?$|^copying(?:[.-].*)?$|^notice(?:[.-].*)?$"
 
-# Short forms and header notices of common licences.
+
+
+def gnu_notice(label: str, name: str, version: str, mark: str, thing: str = "program") -> list[tuple[str, str]]:
+    """First paragraph and whole of the header notice that the GNU licences give."""
+    grant = f"This {thing} is free software{mark} you can redistribute it and/or modify it under the terms of the {name} as published by the Free Software Foundation, either version {version} of the License, or (at your option) any later version."
+    warranty = f"This {thing} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the {name} for more details."
+    copy = f"You should have received a copy of the {name} along with this {thing}. If not, see <https://www.gnu.org/licenses/>."
+    return [(label, grant), (label, f"{grant} {warranty} {copy}")]
+
+
+BSD_CONDITIONS = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+    "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. "
+)
+BSD_NAMES = "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. "
+BSD_DISCLAIMER = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. "
+    "IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) "
+    "HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+
+# Short forms, header notices, and of licence files the title or the text.
 TEMPLATES = [
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License. See LICENSE in the project root for license information."),
@@ -39,7 +61,13 @@ TEMPLATES = [
     ("LGPL-3.0", "This library is licensed under the GNU Lesser General Public License, version 3."),
     ("AGPL-3.0", "This program is licensed under the GNU Affero General Public License, version 3."),
     ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    # The sentence that opens the conditions is that of both BSD licences, so it names neither.
+    ("BSD-3-Clause", BSD_NAMES),
+    ("BSD-3-Clause", f"{BSD_CONDITIONS} 3. {BSD_NAMES}"),
+    ("BSD-3-Clause", f"{BSD_CONDITIONS} 3. {BSD_NAMES} {BSD_DISCLAIMER}"),
+    ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
+    ("BSD-2-Clause", BSD_CONDITIONS),
+    ("BSD-2-Clause", f"{BSD_CONDITIONS} {BSD_DISCLAIMER}"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
@@ -47,6 +75,28 @@ TEMPLATES = [
     ("CC0-1.0", "To the extent possible under law, the author has dedicated all copyright and related rights to the public domain worldwide under CC0 1.0."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    *gnu_notice("GPL-3.0", "GNU General Public License", "3", ":"),
+    *gnu_notice("GPL-2.0", "GNU General Public License", "2", ";"),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation."),
+    *gnu_notice("LGPL-3.0", "GNU Lesser General Public License", "3", ":"),
+    *gnu_notice("LGPL-3.0", "GNU Lesser General Public License", "3", ":", "library"),
+    *gnu_notice("LGPL-2.1", "GNU Lesser General Public License", "2.1", ";", "library"),
+    *gnu_notice("AGPL-3.0", "GNU Affero General Public License", "3", ":"),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"),
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("CC-BY-4.0", "Creative Commons Attribution 4.0 International Public License"),
+    ("CC-BY-SA-4.0", "Creative Commons Attribution-ShareAlike 4.0 International Public License"),
+    ("CC-BY-NC-4.0", "Creative Commons Attribution-NonCommercial 4.0 International Public License"),
+    ("CC0-1.0", "CC0 1.0 Universal"),
+    ("Unlicense", "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
 ]
 
 

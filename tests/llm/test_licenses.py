@@ -85,3 +85,53 @@ def test_whole_table(spark, folder):
     got = sorted(((r.path, r.own_license, r.score, r.license, r.license_dir) for r in rows), key=repr)
     assert got == want
     assert any(r[1] for r in got)
+
+
+def gnu(name, version, mark, thing="program"):
+    return (
+        f"This {thing} is free software{mark} you can redistribute it and/or modify\nit under the terms of the {name} as published by\nthe Free Software Foundation, either version {version} of the License, or\n"
+        f"(at your option) any later version.\n\nThis {thing} is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without even the implied warranty of\n"
+        f"MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the\n{name} for more details.\n"
+    )
+
+
+BSD2 = """Copyright (c) 2020, A. Writer
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+DISCLAIMER = """
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED.
+"""
+NAMES = """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+GPL, LGPL, AGPL = (f"GNU {kind}General Public License" for kind in ("", "Lesser ", "Affero "))
+NOTICES = [
+    ("GPL-3.0", gnu(GPL, "3", ":")), ("GPL-2.0", gnu(GPL, "2", ";")), ("LGPL-3.0", gnu(LGPL, "3", ":")), ("LGPL-3.0", gnu(LGPL, "3", ":", "library")), ("LGPL-2.1", gnu(LGPL, "2.1", ";", "library")),
+    ("AGPL-3.0", gnu(AGPL, "3", ":")), ("BSD-2-Clause", BSD2 + DISCLAIMER), ("BSD-3-Clause", BSD2 + NAMES + DISCLAIMER), ("MIT", MIT + ", subject to the following conditions:"),
+    ("CC-BY-4.0", "Attribution 4.0 International\n\n=====\n\nCreative Commons Attribution 4.0 International Public License\n\nBy exercising"),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."), ("CC0-1.0", "Creative Commons Legal Code\n\nCC0 1.0 Universal\n"),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright (C) 2007"), ("MPL-2.0", "Mozilla Public License Version 2.0\n======\n\n1. Definitions"),
+    ("Apache-2.0", "   Apache License\n   Version 2.0, January 2004\n   http://www.apache.org/licenses/\n\n   TERMS AND CONDITIONS"), ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE\n  Version 3, 19 November 2007\n"),
+]
+
+
+def test_standard_notices(spark):
+    """Every standard notice gets its own label."""
+    frame = spark.createDataFrame([(f"{i}.txt", text) for i, (_, text) in enumerate(NOTICES)] + [(f"x{i}.txt", "words of a document") for i in range(200)], "path string, text string")
+    got = {r.path: r.own_license for r in lic.scan_licenses(frame).collect()}
+    assert [got[f"{i}.txt"] for i in range(len(NOTICES))] == [name for name, _ in NOTICES]
