@@ -1,8 +1,9 @@
 """Licences of files: TF-IDF cosine to templates, then inheritance from the nearest ancestor directory.
 
 DataFrame expressions throughout. A file is compared as a whole, paragraph by
-paragraph and line by line, so that a notice is found wherever it stands and
-however it is wrapped. Files without a licence of their own take that of the
+paragraph and line by line, with and without comment marks, and where none of
+these holds a notice by runs of words as long as a template, so that a notice
+is found wherever it stands and however it is wrapped. Files without a licence of their own take that of the
 nearest directory above them that holds a licence file.
 """
 
@@ -24,6 +25,8 @@ from loomstat.session import cut_lineage
 THRESHOLD = 0.75
 # Possessive repeats: the regex engine of the JVM recurses into other repeated groups.
 WORD = r"[a-z0-9]++(?:[.+-][a-z0-9]++)*+"
+# What opens a comment line or closes a block; a line of nothing else is an empty one.
+COMMENT = r"(?m)^[ \t]*+(?:(?:/\*++|\*++/?|//++[!/]?|#++|--++|;++|%++|<!--++|-->)[ \t\r]*+)++|(?:\*/|-->)[ \t\r]*+$"
 LICENSE_FILE = r"(?i)^(?:un)?licen[cs]e(?:[.-].*)?$|^copying(?:[.-].*)?$|^notice(?:[.-].*)?$"
 
 
@@ -106,13 +109,14 @@ def words_of(text: Column) -> Column:
 
 @dataclass
 class LicenseTerms:
-    """Template vectors over the corpus: idf of template words, of any other word, unit weights per template, anchor words."""
+    """Template vectors over the corpus: idf of template words, of any other word, unit weights per template, anchor words, words of the templates in order."""
 
     names: list[str]
     idf: dict[str, float]
     other: float
     weights: list[tuple[str, int, float]]
     anchors: list[str]
+    words: list[list[str]]
 
 
 def fit_terms(texts: DataFrame, text: str, templates: Sequence[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> LicenseTerms:
@@ -124,7 +128,8 @@ def fit_terms(texts: DataFrame, text: str, templates: Sequence[tuple[str, str]]
     reaches the threshold, so the others need not be looked at. Only as many
     rows as there are template words come to the driver.
     """
-    counted = [Counter(re.findall(WORD, t.lower())) for _, t in templates]
+    listed = [re.findall(WORD, t.lower()) for _, t in templates]
+    counted = [Counter(words) for words in listed]
     vocabulary = sorted(set().union(*counted))
     held = F.explode(F.array_intersect(words_of(col(text)), F.array(*[F.lit(w) for w in vocabulary])))
     seen = {r["term"]: r["df"] for r in texts.select(held.alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df")).collect()}
@@ -143,7 +148,7 @@ def fit_terms(texts: DataFrame, text: str, templates: Sequence[tuple[str, str]]
             break
         if any(word in u for u in open_):
             anchors.append(word)
-    return LicenseTerms([name for name, _ in templates], idf, math.log(1 + n) + 1, weights, anchors)
+    return LicenseTerms([name for name, _ in templates], idf, math.log(1 + n) + 1, weights, anchors, listed)
 
 
 def detect(texts: DataFrame, text: str, terms: LicenseTerms, threshold: float = THRESHOLD) -> DataFrame:
@@ -152,12 +157,49 @@ def detect(texts: DataFrame, text: str, terms: LicenseTerms, threshold: float =
     Equal texts are compared once. Of equal cosines (to nine digits) the first
     template wins.
     """
-    spark = texts.sparkSession
     anchor = r"(?i)(?<![a-z0-9])(?:" + "|".join(re.escape(a) for a in terms.anchors) + r")(?![a-z0-9])"
     likely = texts.where(col(text).rlike(anchor)).select(F.md5(col(text)).alias("digest"), col(text).alias("text")).dropDuplicates(["digest"])
-    parts = F.concat(F.array(F.col("text")), F.split("text", r"\n[ \t\r]*\n"), F.split("text", "\n"))
+    bare = F.regexp_replace("text", COMMENT, "")
+    blank = r"\n[ \t\r]*\n"
+    parts = F.concat(F.array(F.col("text")), F.split("text", blank), F.split(bare, blank), F.split("text", "\n"))
     segments = likely.select("digest", F.posexplode(F.array_distinct(parts)).alias("part", "segment")).where(F.col("segment").rlike(anchor))
-    counted = segments.select("digest", "part", F.explode(words_of(F.col("segment"))).alias("term")).groupBy("digest", "part", "term").agg(F.count(F.lit(1)).alias("tf"))
+    whole = cut_lineage(best_templates(segments.select("digest", "part", words_of(F.col("segment")).alias("words")), terms, threshold))
+    runs = windows(likely.join(whole.select("digest"), "digest", "left_anti"), terms, threshold)
+    return whole.union(best_templates(runs, terms, threshold))
+
+
+def windows(texts: DataFrame, terms: LicenseTerms, threshold: float) -> DataFrame:
+    """(digest, part, words): runs of words as long as a template, so placed that an anchor word stands where the template has it.
+
+    Runs whose words hold less than the threshold of the template's length
+    cannot reach it (Cauchy-Schwarz) and are left out.
+    """
+    shapes, unit = [], {}
+    for word, i, weight in terms.weights:
+        unit.setdefault(i, {})[word] = weight
+    anchors = set(terms.anchors)
+    for i, words in enumerate(terms.words):
+        for offset, word in enumerate(words):
+            if word in anchors:
+                shapes.append((word, i, offset, len(words)))
+    spark = texts.sparkSession
+    shape = F.broadcast(spark.createDataFrame(shapes, "anchor string, template int, offset int, size int"))
+    mass = F.broadcast(spark.createDataFrame([(i, u) for i, u in unit.items()], "template int, unit map<string,double>"))
+    spread = texts.select("digest", words_of(F.col("text")).alias("words"))
+    placed = spread.select("digest", "words", F.posexplode("words").alias("at", "anchor")).where(F.col("anchor").isin(terms.anchors))
+    # Placings of one start and length are one run.
+    starts = placed.join(shape, "anchor").select("digest", "words", "template", F.greatest(F.col("at") - F.col("offset"), F.lit(0)).alias("start"), "size")
+    run = F.slice("words", F.col("start") + 1, F.col("size"))
+    cut = starts.select("digest", "template", "start", "size", run.alias("words")).join(mass, "template")
+    held = F.aggregate(F.array_distinct("words"), F.lit(0.0), lambda a, w: a + F.coalesce(F.pow(F.element_at("unit", w), F.lit(2)), F.lit(0.0)))
+    kept = cut.where(held >= threshold**2 - 1e-9).dropDuplicates(["digest", "start", "size"])
+    return kept.select("digest", F.xxhash64("start", "size").alias("part"), "words")
+
+
+def best_templates(segments: DataFrame, terms: LicenseTerms, threshold: float) -> DataFrame:
+    """(digest, own_license, score) from segments (digest, part, words): the best template of each digest at or above the threshold."""
+    spark = segments.sparkSession
+    counted = segments.select("digest", "part", F.explode("words").alias("term")).groupBy("digest", "part", "term").agg(F.count(F.lit(1)).alias("tf"))
     # Both tables are as large as the templates, which are literals.
     idf = F.broadcast(spark.createDataFrame(list(terms.idf.items()), "term string, idf double"))
     weights = F.broadcast(spark.createDataFrame(terms.weights, "term string, template int, weight double"))

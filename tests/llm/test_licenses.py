@@ -135,3 +135,16 @@ def test_standard_notices(spark):
     frame = spark.createDataFrame([(f"{i}.txt", text) for i, (_, text) in enumerate(NOTICES)] + [(f"x{i}.txt", "words of a document") for i in range(200)], "path string, text string")
     got = {r.path: r.own_license for r in lic.scan_licenses(frame).collect()}
     assert [got[f"{i}.txt"] for i in range(len(NOTICES))] == [name for name, _ in NOTICES]
+
+
+def test_comment_blocks_and_prose(spark):
+    """Notices in comment blocks and amid prose on one line are found."""
+    header = gnu(GPL, "3", ":") + "\nYou should have received a copy of the notice with the many pages of this book."
+    blocks = ["/*\n * This file is part of a program of many parts.\n *\n" + "".join(f" * {line}".rstrip() + "\n" for line in header.split("\n")) + " */\nint x;"]
+    blocks += ["\n".join(f"{mark} {line}".rstrip() for line in ("A heading of the file with words of its own.\n\n" + header).split("\n")) + "\ncode = 1" for mark in ("#", "//", "--")]
+    prose = "Many words come before it. This page is Licensed under the Apache License, Version 2.0. and more words follow it on the same line. " + "other words of prose " * 20
+    other = [("p.txt", prose), ("q.txt", "A license and a version of the software, with permission to use a copy of the file. " * 5)]
+    frame = spark.createDataFrame([(f"{i}.c", text) for i, text in enumerate(blocks)] + other + [(f"x{i}.txt", "words of a document") for i in range(200)], "path string, text string")
+    got = {r.path: r.own_license for r in lic.scan_licenses(frame).collect()}
+    assert [got[f"{i}.c"] for i in range(len(blocks))] == ["GPL-3.0"] * len(blocks)
+    assert got["p.txt"] == "Apache-2.0" and got["q.txt"] is None
