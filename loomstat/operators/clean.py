@@ -111,6 +111,11 @@ def role_counts(audit: DataFrame) -> DataFrame:
     return audit.groupBy("role").agg(F.count(F.lit(1)).alias("n_attributes"))
 
 
+def role_figures(audit: DataFrame) -> DataFrame:
+    """How many attributes have each role, and how many values of theirs are missing or outliers."""
+    return audit.groupBy("role").agg(F.count(F.lit(1)).alias("n_attributes"), F.sum("missing").alias("missing"), F.sum("outliers").alias("outliers"))
+
+
 @dataclass
 class CleanStats:
     """What fitting learns: fill values, and centre and spread of interval columns."""

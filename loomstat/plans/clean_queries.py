@@ -59,6 +59,19 @@ def p6_role_counts(spark, d):
     return clean.role_counts(clean.attribute_audit(_lines(spark, d), LINE_MAP))
 
 
+@query(
+    """SELECT 'id' AS role, CAST(1 AS BIGINT) AS n_attributes, CAST(count(*) - count(l_orderkey) AS BIGINT) AS missing, CAST(0 AS BIGINT) AS outliers FROM lineitem
+       UNION ALL SELECT 'interval', 4, CAST(4 * count(*) - count(l_extendedprice) - count(l_quantity) - count(l_discount) - count(l_tax) AS BIGINT),
+           CAST(count(*) FILTER (WHERE l_extendedprice NOT BETWEEN 1000 AND 100000) + count(*) FILTER (WHERE l_quantity NOT BETWEEN 5 AND 45)
+               + count(*) FILTER (WHERE l_discount NOT BETWEEN 0.01 AND 0.09) + count(*) FILTER (WHERE l_tax NOT BETWEEN 0 AND 0.07) AS BIGINT) FROM lineitem
+       UNION ALL SELECT 'nominal', 1, CAST(count(*) - count(l_returnflag) AS BIGINT), count(*) FILTER (WHERE l_returnflag NOT IN ('A', 'N')) FROM lineitem
+       UNION ALL SELECT 'binary', 1, CAST(count(*) - count(l_linestatus) AS BIGINT), count(*) FILTER (WHERE l_linestatus NOT IN ('O', 'F')) FROM lineitem
+       UNION ALL SELECT 'ignore', 1, CAST(count(*) - count(l_shipdate) AS BIGINT), CAST(0 AS BIGINT) FROM lineitem"""
+)
+def p6_role_figures(spark, d):
+    return clean.role_figures(clean.attribute_audit(_lines(spark, d), LINE_MAP))
+
+
 @query(CLEANED_SQL)
 def c1_replace_outliers(spark, d):
     columns = [*KEYS, "l_extendedprice", "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
