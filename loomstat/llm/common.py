@@ -10,6 +10,9 @@ from loomstat.session import cut_lineage
 # A word is a run of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 
+# A key with more than one in so many rows is joined apart from the others.
+HOT_SHARE = 1000
+
 
 def unused(df: DataFrame, *names: str) -> list[str]:
     """Column names that do not clash with those of the table (case ignored)."""
@@ -33,6 +36,22 @@ def held_out(doc_id: Column, modulus: int, remainder: int = 2) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % modulus == remainder
 
 
+def attach_by_key(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """Left join of rows to a table with one row per key, where a key may hold any share of the rows.
+
+    A key of more than one in HOT_SHARE rows is joined by broadcast; there are
+    fewer than HOT_SHARE such keys, whatever the size. The others meet in a
+    shuffle, and rows with a null key in neither. Both inputs should be stored,
+    since each is read twice.
+    """
+    total = rows.count()
+    hot = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") * HOT_SHARE > total).select(key)
+    hot_rows = table.join(F.broadcast(hot), key, "left_semi")
+    often = rows.join(F.broadcast(hot_rows), key)
+    seldom = rows.where(F.col(key).isNotNull()).join(F.broadcast(hot), key, "left_anti").join(table, key, "left")
+    return often.unionByName(seldom).unionByName(rows.where(F.col(key).isNull()), allowMissingColumns=True)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of an undirected graph of long ids.
 

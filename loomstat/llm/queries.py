@@ -1,17 +1,20 @@
-"""The registered queries of the ten operators over the standard tables."""
+"""The registered queries of the operators over the standard tables."""
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomstat.llm import language_model, licenses, line_spread, mixing, neighbours, personal_data, pieces, simhash, toxicity, vector_groups
+from loomstat.llm import alignment, language_model, licenses, line_spread, mixing, neighbours, personal_data, pieces, simhash, toxicity, vector_groups
 from loomstat.llm.catalog import ORACLES, QUERIES, query, table
 from loomstat.llm.common import held_out
 
 __all__ = ["ORACLES", "QUERIES"]
 
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+BYTE_MODEL = "/opt/tokenizers/byte_bpe_50k.json"
 
 MIX_SQL = r"""
 WITH docs AS (
@@ -151,3 +154,10 @@ def op7_personal_data(spark: SparkSession, folder: str) -> DataFrame:
 def op9_simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate group of every document by SimHash."""
     return simhash.group_near_duplicates(table(spark, folder, "documents"))
+
+
+@query()
+def op12_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """How the tokens of the byte-level and the piece vocabulary fall together in every document."""
+    byte_json, piece_model = Path(BYTE_MODEL).read_bytes(), Path(PIECE_MODEL).read_bytes()
+    return alignment.align_tokenizers(table(spark, folder, "documents"), byte_json, piece_model)
