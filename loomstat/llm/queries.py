@@ -7,7 +7,9 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomstat.llm import alignment, language_model, licenses, line_spread, mixing, neighbours, personal_data, pieces, simhash, toxicity, vector_groups
+from loomstat.llm import (
+    alignment, language_model, licenses, line_spread, mixing, neighbours, personal_data, pieces, simhash, spelling, toxicity, vector_groups,
+)
 from loomstat.llm.catalog import ORACLES, QUERIES, query, table
 from loomstat.llm.common import held_out
 
@@ -161,3 +163,9 @@ def op12_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
     """How the tokens of the byte-level and the piece vocabulary fall together in every document."""
     byte_json, piece_model = Path(BYTE_MODEL).read_bytes(), Path(PIECE_MODEL).read_bytes()
     return alignment.align_tokenizers(table(spark, folder, "documents"), byte_json, piece_model)
+
+
+@query()
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Near words, frequent form and root of every word of the documents."""
+    return spelling.group_variants(table(spark, folder, "documents"))
