@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomstat.llm import (
-    alignment, language_model, licenses, line_spread, mixing, neighbours, personal_data, pieces, simhash, spelling, toxicity, vector_groups,
+    alignment, language_model, licenses, line_spread, mixing, neighbours, personal_data, pieces, quality, simhash, spelling, toxicity, vector_groups,
 )
 from loomstat.llm.catalog import ORACLES, QUERIES, query, table
 from loomstat.llm.common import held_out
@@ -169,3 +169,11 @@ def op12_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
 def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     """Near words, frequent form and root of every word of the documents."""
     return spelling.group_variants(table(spark, folder, "documents"))
+
+
+@query()
+def op13_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score of every document."""
+    scores = quality.score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    flagged = (F.col("score") >= 0.3).cast("int").alias("predicted")
+    return scores.select("doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", flagged)
