@@ -9,8 +9,8 @@ are then joined to every document that has it.
 Both tokenizers cut at a single space between two characters that are not white
 space: the byte-level pattern starts a new piece there, and no piece of the
 other vocabulary has a space after another character. So the parts between such
-spaces are tokenised alone, once per cache, and what a text holds is put
-together from its parts.
+spaces are tokenised on their own, once per block of texts, and what a text holds
+is put together from its parts.
 """
 
 from __future__ import annotations
@@ -18,8 +18,9 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from collections import defaultdict
 from collections.abc import Iterator
-from itertools import accumulate
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -42,11 +43,14 @@ BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s
 CUT = re.compile(r"(?<=\S) (?=\S)")
 # Below this character the letter and digit classes of all Unicode versions agree, so the faster library serves.
 SETTLED = "ɐ"
-# Parts remembered per worker, none longer than this; a full cache starts afresh.
-CACHE = 150_000
-CACHED_CHARS = 64
+# White space other than spaces and line ends.
+RARE = re.compile(r"[^\S \n]")
+# Parts tokenised at a time.
+BUNDLE = 256
+# After an id in the digest text: inside a side, after A's side, after a group, after the last group of a part.
+SIGNS = (b",", b"|", b";", b"\n")
 # Texts are put together to blocks of about this many characters.
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 16_000_000
 
 MEASURES = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
 
@@ -92,7 +96,10 @@ class Aligner:
             raise ValueError("a token without bytes has no place in a text")
         if any(SPACE in n.lstrip(SPACE) for n in names):
             raise ValueError("a piece has a space after another character: parts of a text are not independent")
-        self.parts: dict[str, tuple] = {}
+        self.a_sizes, self.b_sizes = (np.array([len(b) for b in table], dtype=np.int64) for table in (self.a_bytes, self.b_bytes))
+        # An id as it stands in the digest text, before each of the four signs that can follow it.
+        self.ids = max(size, len(names))
+        self.written = [b"%d%s" % (i, sign) for sign in SIGNS for i in range(self.ids)]
 
     def encode_a(self, texts: list[str]) -> list[list[int]]:
         """Ids of texts that have their space already."""
@@ -107,93 +114,140 @@ class Aligner:
             out[i] = coded.ids
         return out
 
-    def align(self, parts: list[str]) -> list[tuple]:
-        """(tokens of A, tokens of B, codes of the linked id pairs, digest text) of each part with a space before it.
+    def align(self, parts: list[str]) -> Parts:
+        """The alignment of each part as it is with a space before it.
 
-        A part whose tokens do not give its bytes back has no tokens, and None for codes.
+        Parts that begin and end in characters are tokenised some hundreds at a time,
+        with spaces between them; parts with white space at an end, and those of a
+        bundle whose tokens do not give its bytes back, one by one.
         """
-        out = []
-        spaced = [" " + p for p in parts]
-        for text, a, b in zip(spaced, self.encode_a(spaced), self.pieces.encode(parts, num_threads=1)):
-            raw = text.encode()
-            if b"".join([self.a_bytes[i] for i in a]) != raw or b"".join([self.b_bytes[i] for i in b]) != raw:
-                out.append((0, 0, None, b""))
-                continue
-            a_ends = list(accumulate([len(self.a_bytes[i]) for i in a]))
-            b_ends = list(accumulate([len(self.b_bytes[i]) for i in b]))
-            places = {end: j for j, end in enumerate(b_ends)}
-            codes, groups, i0, j0 = [], [], 0, 0
-            for i, end in enumerate(a_ends):
-                j = places.get(end)
-                if j is not None:
-                    codes.append(b[j] << 32 | a[i])
-                    groups.append(f"{','.join(map(str, a[i0 : i + 1]))}|{','.join(map(str, b[j0 : j + 1]))}")
-                    i0, j0 = i + 1, j + 1
-            out.append((len(a), len(b), codes, ";".join(groups).encode()))
-        return out
-
-    def lookup(self, parts: list[str]) -> list[tuple]:
-        """Alignments of distinct parts, from the cache where it has them."""
-        known = self.parts
-        new = [p for p in parts if p not in known]
-        if not new:
-            return [known[p] for p in parts]
-        found = dict(zip(new, self.align(new)))
-        out = [found[p] if p in found else known[p] for p in parts]
-        if len(known) + len(new) > CACHE:
-            known.clear()
-        known.update((p, v) for p, v in list(found.items())[:CACHE] if len(p) <= CACHED_CHARS)
-        return out
+        whole = [i for i, p in enumerate(parts) if not (p[0].isspace() or p[-1].isspace())]
+        # The few parts with unsettled characters stand together, so that other bundles take the faster way.
+        whole.sort(key=lambda i: max(parts[i]) >= SETTLED)
+        single = sorted(set(range(len(parts))) - set(whole))
+        bundles = [whole[i : i + BUNDLE] for i in range(0, len(whole), BUNDLE)]
+        good, a, b = [], [], []
+
+        def encode(groups: list[list[int]]) -> list[int]:
+            bad = []
+            texts = [" ".join([parts[i] for i in group]) for group in groups]
+            for group, text, ids, pieces in zip(groups, texts, self.encode_a([" " + t for t in texts]), self.pieces.encode(texts, num_threads=1)):
+                raw = (" " + text).encode()
+                if b"".join([self.a_bytes[i] for i in ids]) == raw == b"".join([self.b_bytes[i] for i in pieces]):
+                    good.extend(group)
+                    a.extend(ids)
+                    b.extend(pieces)
+                else:
+                    bad += group
+            return bad
+
+        rest = sorted(single + encode(bundles))
+        encode([[i] for i in rest])
+        return self.linked(parts, np.array(good, dtype=np.int64), np.array(a, dtype=np.int64), np.array(b, dtype=np.int64))
+
+    def linked(self, parts: list[str], good: np.ndarray, a: np.ndarray, b: np.ndarray) -> Parts:
+        """Links and digest texts, given the tokens of the parts in the order of ``good``."""
+        n = len(parts)
+        a_ends, b_ends = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+        part_ends = np.cumsum(np.array([1 + len(parts[i].encode()) for i in good.tolist()], dtype=np.int64))
+        total = int(part_ends[-1]) if len(good) else 0
+
+        def marked(places: np.ndarray) -> np.ndarray:
+            out = np.zeros(total + 1, dtype=bool)
+            out[places] = True
+            return out
+
+        # The last tokens of each group: those that end where one of the other side does.
+        a_last, b_last = np.flatnonzero(marked(b_ends)[a_ends]), np.flatnonzero(marked(a_ends)[b_ends])
+        common = a_ends[a_last]
+
+        def per_part(ends: np.ndarray) -> np.ndarray:
+            out = np.zeros(n, dtype=np.int64)
+            out[good] = np.bincount(np.searchsorted(part_ends, ends), minlength=len(good))
+            return out
+
+        # A's tokens of a group come before B's: each token moves up by the tokens of the other side that precede it.
+        a_group, b_group = np.searchsorted(common, a_ends), np.searchsorted(common, b_ends)
+        order = np.zeros(len(a) + len(b), dtype=np.int64)
+        a_signs = np.zeros(len(a), dtype=np.int64)
+        a_signs[a_last] = 1
+        b_signs = np.zeros(len(b), dtype=np.int64)
+        b_signs[b_last] = np.where(marked(part_ends)[common], 3, 2)
+        order[np.arange(len(a)) + np.concatenate([[0], b_last + 1])[a_group]] = a_signs * self.ids + a
+        order[np.arange(len(b)) + (a_last + 1)[b_group]] = b_signs * self.ids + b
+        written = self.written
+        texts = b"".join([written[i] for i in order.tolist()]).split(b"\n")[:-1]
+        digests: list[bytes | None] = [None] * n
+        for i, text in zip(good.tolist(), texts):
+            digests[i] = text
+        links = per_part(common)
+        # Codes by part number.
+        codes = b[b_last] << 32 | a[a_last]
+        of = good[np.searchsorted(part_ends, common)]
+        return Parts(per_part(a_ends), per_part(b_ends), links, codes[np.argsort(of, kind="stable")], digests)
+
+
+@dataclass(frozen=True)
+class Parts:
+    """Per part: tokens of A and of B, links, and the digest text (None where it has no tokens); the codes of all links, part by part."""
+
+    n_a: np.ndarray
+    n_b: np.ndarray
+    links: np.ndarray
+    codes: np.ndarray
+    digests: list[bytes | None]
+
+
+def parts_of(text: str) -> list[str]:
+    """The text cut at single spaces between characters that are not white space."""
+    if "  " in text or " \n" in text or "\n " in text or text[0] == " " or text[-1] == " " or RARE.search(text):
+        return CUT.split(text)
+    return text.split(" ")
 
 
 class Block:
-    """Distinct texts put together, with the parts that they consist of."""
-
-    def __init__(self, aligner: Aligner):
-        self.aligner = aligner
-        self.index: dict[str, int] = {}
-        self.entries: list[tuple] = []
-        self.rows: list[tuple] = []
-        self.weights: list[tuple[np.ndarray, int]] = []
+    """Distinct texts put together; each distinct part of them is tokenised once."""
+
+    def __init__(self):
+        self.index: dict[str, int] = defaultdict()
+        self.index.default_factory = self.index.__len__
+        self.keys: list[bytes] = []
+        self.times: list[int] = []
+        self.places: list[np.ndarray] = []
         self.chars = 0
 
     def add(self, key: bytes, text: str, n: int) -> None:
-        parts = CUT.split(text)
         index = self.index
-        new = [p for p in dict.fromkeys(parts) if p not in index]
-        for p, entry in zip(new, self.aligner.lookup(new)):
-            index[p] = len(self.entries)
-            self.entries.append(entry)
-        at = [index[p] for p in parts]
-        entries = self.entries
-        used = [entries[i] for i in at]
+        self.keys.append(key)
+        self.times.append(n)
+        self.places.append(np.array([index[p] for p in parts_of(text)], dtype="<u4"))
         self.chars += len(text)
-        if any(e[2] is None for e in used):
-            self.rows.append((key, 0, 0, 0, "", b""))
-            return
-        places = np.array(at, dtype="<u4")
-        digest = hashlib.sha256(b";".join([e[3] for e in used])).hexdigest()
-        self.rows.append((key, sum([e[0] for e in used]), sum([e[1] for e in used]), sum([len(e[2]) for e in used]), digest, places.tobytes()))
-        self.weights.append((places, n))
-
-    def batch(self, number: int) -> pa.RecordBatch:
+
+    def batch(self, number: int, aligner: Aligner) -> pa.RecordBatch:
         """One row: the block's texts, its parts, and its distinct links with their occurrences in all documents."""
-        lengths = np.array([len(e[2] or ()) for e in self.entries], dtype=np.int64)
-        codes = np.fromiter((c for e in self.entries for c in e[2] or ()), dtype=np.int64, count=int(lengths.sum()))
-        times = np.zeros(len(self.entries), dtype=np.int64)
-        for places, n in self.weights:
+        found = aligner.align(list(self.index))
+        bad = np.array([d is None for d in found.digests], dtype=bool)
+        times = np.zeros(len(bad), dtype=np.int64)
+        n_a, n_b, n_groups, digests, parts = [], [], [], [], []
+        for places, n in zip(self.places, self.times):
+            if bad[places].any():
+                places = places[:0]
             np.add.at(times, places, n)
-        pairs, which = np.unique(codes, return_inverse=True)
+            n_a.append(int(found.n_a[places].sum()))
+            n_b.append(int(found.n_b[places].sum()))
+            n_groups.append(int(found.links[places].sum()))
+            digests.append(hashlib.sha256(b";".join([found.digests[i] for i in places.tolist()])).hexdigest() if len(places) else "")
+            parts.append(places.tobytes())
+        pairs, which = np.unique(found.codes, return_inverse=True)
         counts = np.zeros(len(pairs), dtype=np.int64)
-        np.add.at(counts, which, np.repeat(times, lengths))
-        key, n_a, n_b, n_groups, digest, parts = zip(*self.rows)
+        np.add.at(counts, which, np.repeat(times, found.links))
         columns = [
             pa.array([number], pa.int64()),
-            pa.array([key], pa.list_(pa.binary())),
+            pa.array([self.keys], pa.list_(pa.binary())),
             *[pa.array([v], pa.list_(pa.int64())) for v in (n_a, n_b, n_groups)],
-            pa.array([digest], pa.list_(pa.string())),
+            pa.array([digests], pa.list_(pa.string())),
             pa.array([parts], pa.list_(pa.binary())),
-            pa.array([lengths.astype("<u4").tobytes()], pa.binary()),
+            pa.array([found.links.astype("<u4").tobytes()], pa.binary()),
             pa.array([which.astype("<u4").tobytes()], pa.binary()),
             pa.ListArray.from_arrays(pa.array([0, len(pairs)], pa.int32()), pa.array(pairs)),
             pa.ListArray.from_arrays(pa.array([0, len(pairs)], pa.int32()), pa.array(counts)),
@@ -224,15 +278,15 @@ def align_blocks(byte_json: bytes, piece_model: bytes):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = Aligner(byte_json, piece_model)
-        block, number = Block(aligner), TaskContext.get().partitionId() << 32
+        block, number = Block(), TaskContext.get().partitionId() << 32
         for batch in batches:
             for key, text, n in zip(*(batch.column(i) for i in range(3))):
                 block.add(key.as_py(), text.as_py(), n.as_py())
                 if block.chars >= BLOCK_CHARS:
-                    yield block.batch(number)
-                    block, number = Block(aligner), number + 1
-        if block.rows:
-            yield block.batch(number)
+                    yield block.batch(number, aligner)
+                    block, number = Block(), number + 1
+        if block.keys:
+            yield block.batch(number, aligner)
 
     return run
 

@@ -87,12 +87,21 @@ def test_empty_table(nothing, models):
     assert out.count() == 0
 
 
-def test_small_cache(make_docs, models, monkeypatch):
-    monkeypatch.setattr(alignment, "CACHE", 3)
-    parts = [f"word{i % 7}" for i in range(20)] + ["x" * 100]
-    small = alignment.Aligner(*models)
-    assert small.lookup(parts[:5]) + small.lookup(parts[5:]) == alignment.Aligner(*models).align(parts)
-    assert len(small.parts) <= 3
+def test_bundles_equal_single_parts(models, monkeypatch):
+    parts = [f"word{i % 7},x" for i in range(20)] + ["x" * 100, "a▁b", "\n", " lead", "trail\t", "字。", "a\nb", "it's"]
+    aligner = alignment.Aligner(*models)
+    bundled = aligner.align(parts)
+    monkeypatch.setattr(alignment, "BUNDLE", 1)
+    single = aligner.align(parts)
+    assert bundled.digests == single.digests and bundled.digests[21] is None
+    for name in ("n_a", "n_b", "links", "codes"):
+        assert getattr(bundled, name).tolist() == getattr(single, name).tolist()
+
+
+@pytest.mark.parametrize("text", ["a b", " a b", "a  b", "a \nb c", "a\n b", "a b ", "a\tb c", "a\t b", "a\u00a0 b c", "\n", " ", "a\nb c\n"])
+def test_parts_are_those_of_the_pattern(text):
+    assert alignment.parts_of(text) == alignment.CUT.split(text)
+    assert " ".join(alignment.parts_of(text)) == text
 
 
 def test_whole_table(spark, folder, models):
