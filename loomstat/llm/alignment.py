@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import math
 import re
 from collections import defaultdict
 from collections.abc import Iterator
@@ -50,7 +51,7 @@ BUNDLE = 256
 # After an id in the digest text: inside a side, after A's side, after a group, after the last group of a part.
 SIGNS = (b",", b"|", b";", b"\n")
 # Texts are put together to blocks of about this many characters.
-BLOCK_CHARS = 16_000_000
+BLOCK_CHARS = 8_000_000
 
 MEASURES = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
 
@@ -338,8 +339,11 @@ def align_tokenizers(docs: DataFrame, byte_json: bytes, piece_model: bytes) -> D
     """
     spark = docs.sparkSession
     key = F.unhex(F.sha2("text", 256))
-    whole = docs.select("doc_id", "text").where("text <> ''")
-    texts = whole.groupBy("text").agg(F.count(F.lit(1)).alias("n")).select(key.alias("key"), "text", "n")
+    keyed = cut_lineage(docs.select("doc_id", F.when(F.col("text") != "", key).alias("key"), F.char_length("text").alias("size")))
+    # Every block repeats the common links, so there are no more blocks than their size or the cores ask for.
+    chars = keyed.where("key is not null").groupBy("key").agg(F.max("size").alias("size")).agg(F.sum("size")).first()[0] or 0
+    n_blocks = max(spark.sparkContext.defaultParallelism, math.ceil(chars / BLOCK_CHARS))
+    texts = docs.where("text <> ''").groupBy("text").agg(F.count(F.lit(1)).alias("n")).select(key.alias("key"), "text", "n").coalesce(n_blocks)
     path = work_path(spark, "alignment")
     texts.mapInArrow(align_blocks(byte_json, piece_model), BLOCK_SCHEMA).write.option("compression", "zstd").parquet(path)
     blocks = spark.read.schema(BLOCK_SCHEMA).parquet(path)
@@ -353,7 +357,6 @@ def align_tokenizers(docs: DataFrame, byte_json: bytes, piece_model: bytes) -> D
     found = lookup_join(wanted, figures, "pair", how="inner").groupBy("block").agg(F.collect_list(F.struct("at", "total", "best")).alias("found"))
     measures = cut_lineage(blocks.drop("counts").join(found, "block", "left").mapInArrow(text_measures, TEXT_SCHEMA))
 
-    keyed = cut_lineage(docs.select("doc_id", F.when(F.col("text") != "", key).alias("key")))
-    joined = attach_by_key(keyed, measures, "key")
+    joined = attach_by_key(keyed.select("doc_id", "key"), measures, "key")
     zero = [F.coalesce(m, F.lit(0)).cast("long").alias(m) for m in MEASURES]
     return joined.select(F.col("doc_id").cast("long").alias("doc_id"), *zero, F.coalesce("groups_sha256", F.lit("")).alias("groups_sha256"))
