@@ -424,8 +424,8 @@ WIDE_X = [
 ]
 
 
-def doc_features(spark, d, wide=False):
-    """Per labelled document simple measures of its whole text; label = quality."""
+def doc_features(spark, d, wide=False, keep=()):
+    """Per labelled document simple measures of its whole text; label = quality. ``keep`` names columns to carry along."""
     # Spread the bare scan: asking a join for its partitions would run it.
     scan = spread_rows(table(spark, d, "documents").select("doc_id", "text", "n_chars", "lang", "source"), "doc_id")
     docs = scan.join(table(spark, d, "labels").select("doc_id", "quality"), "doc_id")
@@ -433,6 +433,7 @@ def doc_features(spark, d, wide=False):
     n = F.size("w").cast("double")
     return words.select(
         "doc_id",
+        *keep,
         F.col("quality").cast("double").alias("label"),
         F.log1p("n_chars").alias("n_chars"),
         F.log1p(n).alias("n_words"),
@@ -582,6 +583,96 @@ def m23_genetic_logistic(spark, d):
     return selection.hall_of_fame(spark, result)
 
 
+# With one 0/1 predictor the multinomial logit has a closed form too: every cell gets its own share.
+MULTI_SQL = """cells AS (SELECT CAST(l_quantity > 25 AS INTEGER) AS x, l_returnflag AS c, CAST(count(*) AS DOUBLE) AS n FROM lineitem GROUP BY 1, 2),
+    shares AS (SELECT *, n / sum(n) OVER (PARTITION BY x) AS fitted, sum(n) OVER (PARTITION BY c) / sum(n) OVER () AS base, sum(n) OVER () AS total FROM cells)"""
+
+
+@query(
+    f"""WITH {MULTI_SQL}, odds AS (SELECT a.x, a.c, ln(a.n / b.n) AS v, 1 / a.n + 1 / b.n AS e FROM cells a JOIN cells b ON a.x = b.x AND b.c = 'A' WHERE a.c <> 'A')
+        SELECT c AS class, 'const' AS term, round(v, 4) AS coef, round(sqrt(e), 4) AS std_err FROM odds WHERE x = 0
+        UNION ALL SELECT o.c, 'large', round(o.v - z.v, 4), round(sqrt(o.e + z.e), 4) FROM odds o JOIN odds z ON o.c = z.c AND o.x = 1 AND z.x = 0"""
+)
+def m6_multinomial_one_factor(spark, d):
+    """Log odds of each return flag against the first, of small and of large orders."""
+    batch = _flag_batch(spark, d)
+    fit = batch.fit([(0,)])[0]
+    batch.close()
+    error = fit.covariance.diagonal() ** 0.5
+    rows = [
+        (c, term, float(fit.coef[i, j]), float(error[i * 2 + j])) for i, c in enumerate(FLAGS[1:]) for j, term in enumerate(("const", "large"))
+    ]
+    return rounded(spark.createDataFrame(rows, "class string, term string, coef double, std_err double"), 4)
+
+
+FLAGS = ("A", "N", "R")
+
+
+def _flag_batch(spark, d):
+    rows = table(spark, d, "lineitem").select((F.col("l_quantity") > 25).cast("double").alias("large"), "l_returnflag")
+    return LogitBatch(rows, ["large"], "l_returnflag", classes=FLAGS)
+
+
+@query(
+    f"""WITH {MULTI_SQL}, fits AS (
+            SELECT '' AS columns, 0 AS p, sum(n * ln(base)) AS ll, sum(n * (1 - base)) / 2 AS sse, any_value(total) AS n FROM shares
+            UNION ALL SELECT 'large', 1, sum(n * ln(fitted)), sum(n * (1 - fitted)) / 2, any_value(total) FROM shares),
+        sizes AS (SELECT *, 3 * (p + 1) + 1 AS k, max(sse) OVER () AS sst FROM fits)
+        SELECT columns, round(ll, 2) AS ll, round(-2 * ll + 2 * k, 2) AS aic, round(-2 * ll + k * ln(n), 2) AS bic,
+            round(greatest(1 - sse / sst * (n - 1) / (n - p - 1), 0), 8) + 0.0 AS adjr2 FROM sizes"""
+)
+def m23_multiclass_fitness(spark, d):
+    """What the search with three classes judges subsets by: the empty one and that of the one column."""
+    batch = _flag_batch(spark, d)
+    subsets = [(), (0,)]
+    ll = [f.ll for f in batch.fit(subsets)]
+    found = {c: selection.LogitFitness(batch, c).score(subsets) for c in selection.CRITERIA}
+    batch.close()
+    rows = [(",".join("large" for _ in cols), ll[i], *[float(found[c][i]) for c in ("aic", "bic", "adjr2")]) for i, cols in enumerate(subsets)]
+    out = spark.createDataFrame(rows, "columns string, ll double, aic double, bic double, adjr2 double")
+    return out.select("columns", *[F.round(c, 2).alias(c) for c in ("ll", "aic", "bic")], F.round("adjr2", 8).alias("adjr2"))
+
+
+LANGUAGES = ("de", "en", "es", "fr")
+LANGUAGE_X = [x for x in WIDE_X if not x.startswith("lang_")]
+
+
+def _language_batch(spark, d):
+    rows = doc_features(spark, d, wide=True, keep=["lang"])
+    return LogitBatch(rows, LANGUAGE_X, "lang", classes=LANGUAGES)
+
+
+@query()
+def m22_stepwise_multiclass(spark, d):
+    """Moves of the stepwise search for the language of a document, by joint Wald tests."""
+    batch = _language_batch(spark, d)
+    _, moves = selection.stepwise(batch)
+    batch.close()
+    return selection.stepwise_log(spark, moves)
+
+
+@query()
+def m23_genetic_multiclass(spark, d):
+    """Best subsets of 14 columns by BIC for the language of a document (four classes)."""
+    batch = _language_batch(spark, d)
+    result = selection.genetic_select(selection.LogitFitness(batch, "bic"), LANGUAGE_X, n_generation=10)
+    batch.close()
+    return selection.hall_of_fame(spark, result)
+
+
+@query()
+def m23_genetic_criteria(spark, d):
+    """Best subset by each criterion from either start; one Gram matrix serves all six searches."""
+    rows, xs = _design(spark, d)
+    g = gram(rows, xs, NET)
+    out = []
+    for criterion in selection.CRITERIA:
+        for start in ("star", "random"):
+            found = selection.genetic_select(selection.LinearFitness(g, criterion), xs, n_generation=25, method=start)
+            out.append((criterion, start, ",".join(found.features), len(found.best), float(found.fitness), found.distinct))
+    return spark.createDataFrame(out, "criterion string, start string, features string, k int, fitness double, n_distinct int")
+
+
 @query()
 def s8_save_model(spark, d):
     """A tree stored, loaded again and applied."""
