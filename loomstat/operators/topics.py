@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from loomstat.operators.factors import factorise
 from loomstat.operators.joins import fits_broadcast, lookup_join
 from loomstat.operators.reshape import mean_and_count
 from loomstat.operators.terms import doc_term, limit_terms, tfidf, tokenize
@@ -228,101 +229,32 @@ def topics_svd(
 
 
 def _nmf(
-    weights: DataFrame, key: str, k: int, max_iter: int, tol: float, seed: int, alpha: float, l1_ratio: float, kl: bool, value: str
+    weights: DataFrame, key: str, k: int, max_iter: int, tol: float, seed: int, alpha: float, l1_ratio: float, kl: bool, value: str, start=None
 ) -> Topics:
-    cells = weights.select(
-        F.col(key).alias("doc"), F.col("term"), F.col(value).cast("double").alias("v")
-    ).filter(F.col("v") > 0).repartition("doc").persist()
-    size = cells.agg(
-        F.sum("v").alias("s"), F.sum(F.col("v") * F.col("v")).alias("q"), F.sum(F.col("v") * F.log("v")).alias("e"),
-        F.count_distinct("doc").alias("docs"), F.count_distinct("term").alias("terms"),
-    ).first()
-    level = math.sqrt(size["s"] / size["docs"] / size["terms"] / k)
-    w_names, h_names = [f"w{j}" for j in range(k)], [f"h{j}" for j in range(k)]
-    # The starting tables are stored once: everything after reads them, not the text.
-    w = cut_lineage(cells.select("doc").distinct().select("doc", *_start("doc", "w", k, seed, level)))
-    h = cut_lineage(cells.select("term").distinct().select("term", *_start("term", "h", k, seed + 1, level)))
-    small = fits_broadcast(h)
-    l1, l2 = alpha * l1_ratio, alpha * (1.0 - l1_ratio)
-    losses: list[float] = []
-
-    def products(table, names):
-        row = table.agg(*[F.sum(F.col(a) * F.col(b)) for a in names for b in names]).first()
-        return [[row[i * k + j] for j in range(k)] for i in range(k)]
-
-    def sums(table, names):
-        return list(table.agg(*[F.sum(c) for c in names]).first())
-
-    def with_h(rows, table):
-        return lookup_join(rows, table, "term", "inner", bounded=small)
-
-    def ratio():
-        model = sum((F.col(a) * F.col(b) for a, b in zip(w_names, h_names)), F.lit(TINY))
-        return F.col("v") / model
-
-    def updated(numerators, table, on, names, denominator):
-        new = [
-            (F.col(c) * F.col(f"n_{c}") / (denominator(j) + l1 + l2 * F.col(c) + TINY)).alias(c) for j, c in enumerate(names)
-        ]
-        return cut_lineage(numerators.join(table, on).select(on, *new))
-
-    for _ in range(max_iter):
-        if kl:
-            both = with_h(cells.join(w, "doc"), h).withColumn("r", ratio())
-            num = both.groupBy("doc").agg(*[F.sum(F.col("r") * F.col(b)).alias(f"n_{a}") for a, b in zip(w_names, h_names)])
-            h_sum = sums(h, h_names)
-            w = updated(num, w, "doc", w_names, lambda j: F.lit(h_sum[j]))
-            both = with_h(cells.join(w, "doc"), h).withColumn("r", ratio())
-            num = both.groupBy("term").agg(*[F.sum(F.col("r") * F.col(a)).alias(f"n_{b}") for a, b in zip(w_names, h_names)])
-            w_sum = sums(w, w_names)
-            h = updated(num, h, "term", h_names, lambda j: F.lit(w_sum[j]))
-            fit = with_h(cells.join(w, "doc"), h).agg(F.sum(F.col("v") * F.log(1.0 / ratio() * F.col("v")))).first()[0]
-            volume = sum(a * b for a, b in zip(w_sum, sums(h, h_names)))
-            loss = size["e"] - fit - size["s"] + volume
-        else:
-            hh = products(h, h_names)
-            num = with_h(cells, h).groupBy("doc").agg(
-                *[F.sum(F.col("v") * F.col(b)).alias(f"n_{a}") for a, b in zip(w_names, h_names)]
-            )
-            w = updated(num, w, "doc", w_names, lambda j: sum((F.col(a) * hh[i][j] for i, a in enumerate(w_names)), F.lit(0.0)))
-            ww = products(w, w_names)
-            num = cells.join(w, "doc").groupBy("term").agg(
-                *[F.sum(F.col("v") * F.col(a)).alias(f"n_{b}") for a, b in zip(w_names, h_names)]
-            )
-            old, h = h, updated(num, h, "term", h_names, lambda j: sum((F.col(b) * ww[i][j] for i, b in enumerate(h_names)), F.lit(0.0)))
-            del old
-            hh = products(h, h_names)
-            cross = num.join(h, "term").agg(F.sum(sum((F.col(f"n_{b}") * F.col(b) for b in h_names), F.lit(0.0)))).first()[0]
-            square = sum(ww[i][j] * hh[i][j] for i in range(k) for j in range(k))
-            loss = 0.5 * (size["q"] - 2.0 * cross + square)
-        losses.append(float(loss))
-        if len(losses) > 1 and abs(losses[-2] - loss) <= tol * max(abs(losses[0]), TINY):
-            break
-    docs = w.select(F.col("doc").alias(key), F.array(*w_names).alias("weights"))
-    terms = h.select("term", F.posexplode(F.array(*h_names)).alias("topic", "weight")).select("topic", "term", "weight")
-    cells.unpersist()
+    docs, terms, losses = factorise(weights, key, k, max_iter, tol, seed, alpha, l1_ratio, kl, value, start, _start)
     return Topics(docs, terms, k, {"losses": losses})
 
 
 def topics_nmf(
     weights: DataFrame, key: str, k: int, max_iter: int = 200, tol: float = 1e-4, seed: int = 12345,
-    alpha: float = 0.1, l1_ratio: float = 0.5, value: str = "tfidf",
+    alpha: float = 0.1, l1_ratio: float = 0.5, value: str = "tfidf", start: tuple[Sequence[Column], Sequence[Column]] | None = None,
 ) -> Topics:
     """Non-negative factors of the long (key, term, value) table, squared loss.
 
-    Multiplicative updates written as joins and sums: both factors are tables
-    with one row per document or term, so neither has to fit on one machine;
-    only k x k products reach the driver.
+    Each round is one pass over strips of whole documents, which hold the weights of their
+    documents and meet the term table's rows for their terms; only k x k products reach the
+    driver. ``start``: starting values from the columns ``doc`` and ``term``. ``info["losses"]``
+    has the loss before each round, without the penalties.
     """
-    return _nmf(weights, key, k, max_iter, tol, seed, alpha, l1_ratio, False, value)
+    return _nmf(weights, key, k, max_iter, tol, seed, alpha, l1_ratio, False, value, start)
 
 
 def topics_nmf_kl(
     weights: DataFrame, key: str, k: int, max_iter: int = 1000, tol: float = 1e-4, seed: int = 12345,
-    alpha: float = 0.1, l1_ratio: float = 0.5, value: str = "tfidf",
+    alpha: float = 0.1, l1_ratio: float = 0.5, value: str = "tfidf", start: tuple[Sequence[Column], Sequence[Column]] | None = None,
 ) -> Topics:
     """As ``topics_nmf`` with Kullback-Leibler loss; touches nonzero cells only."""
-    return _nmf(weights, key, k, max_iter, tol, seed, alpha, l1_ratio, True, value)
+    return _nmf(weights, key, k, max_iter, tol, seed, alpha, l1_ratio, True, value, start)
 
 
 def topic_terms(topics: Topics, n: int = 15) -> DataFrame:

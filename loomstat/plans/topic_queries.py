@@ -70,6 +70,56 @@ def t18_topics_nmf_kl(spark, d):
     return rounded(topics.topic_terms(found), 4)
 
 
+# One round of either factorisation into two topics, from starting values that the twins can repeat.
+def _round_start():
+    return [1.0 + F.col("doc") % 2, 1.0 + F.col("doc") % 3], [1.0 + F.length("term") % 3, 1.0 + F.length("term") % 4]
+
+
+CELLS_SQL = f"""cells AS (SELECT doc_id, term, CAST(count(*) AS DOUBLE) AS v FROM (SELECT doc_id, {WORDS_SQL} AS term FROM documents) GROUP BY ALL),
+    w0 AS (SELECT DISTINCT doc_id, 1::DOUBLE + doc_id % 2 AS a, 1::DOUBLE + doc_id % 3 AS b FROM cells),
+    h0 AS (SELECT DISTINCT term, 1::DOUBLE + length(term) % 3 AS a, 1::DOUBLE + length(term) % 4 AS b FROM cells)"""
+
+
+def _round_sql(kl: bool) -> str:
+    """Both penalties are 0.05, as alpha 0.1 and an equal mix give."""
+
+    def part(w):
+        return f"v / ({w}.a * h0.a + {w}.b * h0.b + 1e-12)" if kl else "v"
+
+    def divisor(other, own, c):
+        if kl:
+            return f"{other}.{c}"
+        return f"{own}.a * {other}.{'aa' if c == 'a' else 'ab'} + {own}.b * {other}.{'ab' if c == 'a' else 'bb'}"
+
+    def totals(table_):
+        return f"SELECT sum(a) AS a, sum(b) AS b, sum(a * a) AS aa, sum(a * b) AS ab, sum(b * b) AS bb FROM {table_}"
+
+    def update(own, key, total, c):
+        return f"{own}.{c} * n.{c} / ({divisor(total, own, c)} + 0.05 + 0.05 * {own}.{c} + 1e-12)"
+
+    return f"""WITH {CELLS_SQL}, hs AS ({totals('h0')}),
+        nw AS (SELECT doc_id, sum({part('w0')} * h0.a) AS a, sum({part('w0')} * h0.b) AS b FROM cells JOIN w0 USING (doc_id) JOIN h0 USING (term) GROUP BY doc_id),
+        w1 AS (SELECT doc_id, {update('w0', 'doc_id', 'hs', 'a')} AS a, {update('w0', 'doc_id', 'hs', 'b')} AS b FROM w0 JOIN nw n USING (doc_id), hs),
+        ws AS ({totals('w1')}),
+        nh AS (SELECT term, sum({part('w1')} * w1.a) AS a, sum({part('w1')} * w1.b) AS b FROM cells JOIN w1 USING (doc_id) JOIN h0 USING (term) GROUP BY term),
+        h1 AS (SELECT term, {update('h0', 'term', 'ws', 'a')} AS a, {update('h0', 'term', 'ws', 'b')} AS b FROM h0 JOIN nh n USING (term), ws)
+        SELECT CAST(0 AS INTEGER) AS topic, term, round(a, 6) AS weight FROM h1 UNION ALL SELECT CAST(1 AS INTEGER), term, round(b, 6) FROM h1"""
+
+
+@query(_round_sql(False))
+def t17_nmf_one_round(spark, d):
+    """Term weights after one round with squared loss; they depend on the documents' new weights."""
+    counts = topics.doc_weights(_docs(spark, d), "doc_id", weighted=False)
+    return rounded(topics.topics_nmf(counts, "doc_id", 2, max_iter=1, value="value", start=_round_start()).terms)
+
+
+@query(_round_sql(True))
+def t18_nmf_kl_one_round(spark, d):
+    """Term weights after one round with Kullback-Leibler loss."""
+    counts = topics.doc_weights(_docs(spark, d), "doc_id", weighted=False)
+    return rounded(topics.topics_nmf_kl(counts, "doc_id", 2, max_iter=1, value="value", start=_round_start()).terms)
+
+
 RULE_TERMS_SQL = f"""SELECT topic, term, sum(share) AS weight FROM (
         SELECT d.topic, w.term, CAST(1 AS DOUBLE) AS share FROM (SELECT doc_id, doc_id % 3 AS topic FROM documents) d
         JOIN (SELECT doc_id, {WORDS_SQL} AS term FROM documents) w USING (doc_id)) GROUP BY ALL"""

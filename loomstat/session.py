@@ -61,3 +61,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Replace the plan of an iterated table by its stored rows."""
     shared_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def release(df: DataFrame) -> None:
+    """Delete the files of a table that came from :func:`cut_lineage`; nothing may read it any more."""
+    stored = df._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
+    if stored.isDefined():
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(stored.get())
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
