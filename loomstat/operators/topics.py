@@ -20,7 +20,7 @@ from loomstat.operators.factors import factorise
 from loomstat.operators.joins import fits_broadcast, lookup_join
 from loomstat.operators.reshape import mean_and_count
 from loomstat.operators.terms import doc_term, limit_terms, tfidf, tokenize
-from loomstat.session import cut_lineage
+from loomstat.session import cut_lineage, release, work_path
 
 def doc_weights(
     docs: DataFrame, key: str, text: str = "text", min_df: float | int = 1, max_df: float | int = 1.0, weighted: bool = True, **analysis
@@ -71,13 +71,22 @@ def _digamma(x: np.ndarray) -> np.ndarray:
     return out + np.log(x) - 0.5 / x - f * (1 / 12 - f * (1 / 120 - f * (1 / 252 - f * (1 / 240 - f / 132))))
 
 
-def topics_lda(weights: DataFrame, key: str, k: int, max_iter: int = 10, seed: int = 12345, value: str = "value", prior: float | None = None) -> Topics:
+def topics_lda(
+    weights: DataFrame, key: str, k: int, max_iter: int = 10, seed: int = 12345, value: str = "value", prior: float | None = None,
+    batches: int | None = None, offset: float = 10.0, decay: float = 0.7,
+) -> Topics:
     """Latent Dirichlet allocation by variational Bayes on the long (key, term, value) table.
 
     Takes TF-IDF weights like counts. The topic-term table has a row per term
     and never leaves Spark; k sums of it reach the driver. Each round joins
     the cells with the rows of their terms and fits documents one by one
     inside tasks, whatever the number of terms. Priors default to 1 / k.
+
+    With ``batches`` the updates are stochastic: the documents are dealt by
+    their key over so many mini-batches, stored apart, and a round reads each of
+    them once. After the n-th of all updates the term table moves by the rate
+    (offset + n) ** -decay towards what the mini-batch alone, scaled up to all
+    documents, would give.
     """
     alpha = eta = prior if prior is not None else 1.0 / k
     cells = cut_lineage(weights.select(F.col(key).alias("doc"), "term", F.col(value).cast("double").alias("v")).filter("v > 0"))
@@ -137,9 +146,25 @@ def topics_lda(weights: DataFrame, key: str, k: int, max_iter: int = 10, seed: i
     def sums() -> list[float]:
         return list(table.agg(*[F.sum(c) for c in names]).first())
 
-    for _ in range(max_iter):
-        found = fit(cells, sums(), False).groupBy("term").agg(*[(F.sum(c) + eta).alias(c) for c in names])
-        table = cut_lineage(found)
+    if batches is None:
+        for _ in range(max_iter):
+            found = fit(cells, sums(), False).groupBy("term").agg(*[(F.sum(c) + eta).alias(c) for c in names])
+            table, old = cut_lineage(found), table
+            release(old)
+    else:
+        spark = weights.sparkSession
+        path = work_path(spark, "lda")
+        cells.withColumn("batch", F.pmod(F.xxhash64("doc", F.lit(seed)), F.lit(batches)).cast("int")).write.partitionBy("batch").parquet(path)
+        dealt = spark.read.schema(T.StructType([*cells.schema.fields, T.StructField("batch", T.IntegerType())])).parquet(path)
+        held = {r["batch"]: r["n"] for r in dealt.groupBy("batch").agg(F.count_distinct("doc").alias("n")).collect()}
+        order = [b for _ in range(max_iter) for b in sorted(held)]
+        for step, b in enumerate(order, start=1):
+            rate, scale = (offset + step) ** -decay, sum(held.values()) / held[b]
+            found = fit(dealt.where(F.col("batch") == b).drop("batch"), sums(), False).groupBy("term").agg(*[F.sum(c).alias(f"n_{c}") for c in names])
+            alone = [F.lit(eta) + scale * F.coalesce(F.col(f"n_{c}"), F.lit(0.0)) for c in names]
+            blended = [((1.0 - rate) * F.col(c) + rate * a).alias(c) for c, a in zip(names, alone)]
+            table, old = cut_lineage(table.join(found, "term", "left").select("term", *blended)), table
+            release(old)
     total = sums()
     docs = fit(cells, total, True).select(F.col("doc").alias(key), F.array(*names).alias("weights"))
     shares = F.array(*[F.col(c) / F.lit(t) for c, t in zip(names, total)])

@@ -33,6 +33,13 @@ def t15_topics_lda(spark, d):
     return rounded(topics.prob_columns(_lda(spark, d).docs, K))
 
 
+@query()
+def t15_topics_lda_online(spark, d):
+    """Topic probabilities after stochastic updates: ten rounds over three mini-batches of documents."""
+    weights = topics.doc_weights(_docs(spark, d), "doc_id", stop_words=STOP_WORDS, **LIMITS)
+    return rounded(topics.prob_columns(topics.topics_lda(weights, "doc_id", K, max_iter=10, batches=3).docs, K))
+
+
 @query()
 def t16_topics_svd(spark, d):
     weights = topics.doc_weights(_docs(spark, d), "doc_id", stop_words=STOP_WORDS, **LIMITS)
