@@ -217,7 +217,11 @@ def sweep(
         rows.select(F.lit(position).alias("position"), F.lit(named[position]).alias(name), "*")
         for (position, _), rows in zip(jobs, parts)
     ]
-    cells = confusion(union_all(*tagged), by=["position", name, "fold"])
+    return score_settings(confusion(union_all(*tagged), by=["position", name, "fold"]), name)
+
+
+def score_settings(cells: DataFrame, name: str) -> DataFrame:
+    """Scores over folds of every setting from counts by (position, setting, fold, label, prediction)."""
     per_fold = macro_scores(cells, ["position", name, "fold"])
     table = per_fold.groupBy("position", name).agg(
         *[f(s).alias(f"{s}_{n}") for s in SCORES for n, f in (("mean", F.avg), ("std", F.stddev_pop))]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loomstat.functions.words import word_array
-from loomstat.operators import classify, clean, diagnostics, evaluate, linear, selection
+from loomstat.operators import classify, clean, depths, diagnostics, evaluate, linear, selection
 from loomstat.operators.clean import Attr
 from loomstat.operators.gram import gram, gram_table, grams
 from loomstat.operators.logistic import LogitBatch
@@ -524,14 +524,12 @@ def m16_cross_validate(spark, d):
 
 @query()
 def m17_tree_depth_sweep(spark, d):
-    settings = {depth: (lambda depth=depth: classify.decision_tree(depth)) for depth in classify.TREE_DEPTHS}
-    return evaluate.sweep(_assembled(spark, d)[0], "depth", settings, 5)
+    return depths.sweep_depths(_assembled(spark, d)[0], "depth", classify.decision_tree, classify.TREE_DEPTHS, 5)
 
 
 @query()
 def m17_forest_depth_sweep(spark, d):
-    settings = {depth: (lambda depth=depth: classify.random_forest(depth)) for depth in classify.TREE_DEPTHS}
-    return evaluate.sweep(_assembled(spark, d)[0], "depth", settings, 5)
+    return depths.sweep_depths(_assembled(spark, d)[0], "depth", classify.random_forest, classify.TREE_DEPTHS, 5)
 
 
 @query()
