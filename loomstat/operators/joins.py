@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A lookup table is broadcast only after measuring that it has at most this many rows and bytes.
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 << 20
-# Otherwise its rows are repeated once per salt and the big side picks one.
-SALTS = 32
+# Otherwise a key with more rows than this part of an even partition's share is dealt over salts of its own.
+HOT_PART = 0.5
+# Distinct keys that the sketch of the big side tracks: a key of a partition's share is far above its error.
+TRACKED = 65_536
 
 
 def fits_broadcast(table: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
@@ -27,20 +32,48 @@ def reject_repeated_keys(table: DataFrame, key: str) -> None:
         raise ValueError(f"the lookup table lists {twice[0]!r} more than once")
 
 
+def hot_keys(big: DataFrame, column: str, partitions: int) -> list[tuple[object, int]]:
+    """(key, salts) of the keys that hold more than HOT_PART of a partition's even share of the rows.
+
+    A sketch finds them in one pass over the key column that returns at most
+    2 * ``partitions`` keys; each gets a salt per share that its rows would fill.
+    Missing keys are one of them where they are that many.
+    """
+    top = max(1, min(int(partitions / HOT_PART), TRACKED // 2))
+    named = F.col(f"`{column}`")
+    found = big.agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(named.isNull()).alias("missing"), F.expr(f"approx_top_k(`{column}`, {top}, {TRACKED})").alias("top")
+    ).first()
+    share = max(found["n"] / partitions, 1.0)
+    counted = [(r["item"], r["count"]) for r in found["top"] or [] if r["item"] is not None] + [(None, found["missing"])]
+    return [(key, math.ceil(n / (HOT_PART * share))) for key, n in counted if n > HOT_PART * share]
+
+
 def lookup_join(
     big: DataFrame, table: DataFrame, column: str, how: str = "left", bounded: bool = False
 ) -> DataFrame:
     """Join rows to a table whose first column is a unique key for ``column``.
 
     ``bounded`` says the caller knows the table is small (a literal list). The
-    key column of the table does not appear in the result.
+    key column of the table does not appear in the result. Beyond broadcast
+    size the rows of each hot key are dealt over as many salts as its measured
+    share of the rows asks for, and only the table's rows of hot keys are repeated.
     """
     key = table.columns[0]
     lookup = table.withColumnRenamed(key, "_key")
     if bounded or fits_broadcast(lookup):
         joined = big.join(F.broadcast(lookup), F.col(column) == F.col("_key"), how)
         return joined.drop("_key")
-    salted = big.withColumn("_salt", F.pmod(F.xxhash64(*big.columns), F.lit(SALTS)).cast("int"))
-    spread = lookup.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    spark = big.sparkSession
+    hot = hot_keys(big, column, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    if not hot:
+        return big.join(lookup, F.col(column) == F.col("_key"), how).drop("_key")
+    kind = big.schema[column].dataType
+    salts = spark.createDataFrame(hot, T.StructType([T.StructField("_hot", kind), T.StructField("_salts", T.IntegerType())]))
+    # Equal rows of different partitions differ in their salt, and a task that runs again gives the same ones.
+    salt = F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c in big.columns]), F.coalesce("_salts", F.lit(1))).cast("int")
+    salted = big.join(F.broadcast(salts), F.col(column).eqNullSafe(F.col("_hot")), "left").withColumn("_salt", salt).drop("_hot", "_salts")
+    known = lookup.join(F.broadcast(salts), F.col("_key") == F.col("_hot"), "left")
+    spread = known.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))).drop("_hot", "_salts")
     on = (F.col(column) == F.col("_key")) & (F.col("_salt") == F.col("_slot"))
     return salted.join(spread, on, how).drop("_key", "_salt", "_slot")

@@ -23,31 +23,39 @@ def union_all(*tables: DataFrame) -> DataFrame:
     return out
 
 
+# Order columns of these types fit a long, which is packed with a hash of the row into one decimal.
+LONG_ORDERS = {"date": F.unix_date, "timestamp": F.unix_micros} | dict.fromkeys(("byte", "short", "integer", "long"), lambda c: c)
+HASH_BITS = 62
+
+
 def dedup(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per key: the one that comes first by ``order``.
+    """One row per key: the one that comes first by ``order`` (a missing value comes first).
 
     Written as an aggregate rather than a ranking window: each task first
     reduces its own copies to one, so even a key with a third of all rows
     sends one row per task through the shuffle. ``order`` should be unique.
 
-    With one order column of a fixed size, a hash aggregate finds the first
-    per 256-bit digest of the key, and only then the winners fetch their other
-    columns, so wide rows are never sorted to be compared.
+    With one order column that fits a long, a hash aggregate names the winner of
+    each 256-bit digest of the key by its order and, for ties, 62 bits of the
+    row's hash. The rows then meet the winners on all of these together, so the
+    copies of a hot key spread by their order instead of meeting in one task, and
+    wide rows are never sorted to be compared. Rows alike in every column leave
+    one. The columns must be ones that Spark can group by.
     """
     rest = [c for c in df.columns if c not in set(key)]
     if not rest:
         return df.distinct()
-    if len(order) == 1 and isinstance(df.schema[order[0]].dataType, (T.NumericType, T.DateType, T.TimestampType)):
+    kind = df.schema[order[0]].dataType.typeName()
+    if len(order) == 1 and kind in LONG_ORDERS:
         parts = [F.coalesce(F.concat(F.lit("v"), F.length(F.col(c).cast("string")), F.lit(":"), F.col(c).cast("string")), F.lit("n")) for c in key]
-        marked = df.withColumn("_digest", F.unhex(F.sha2(F.concat(*parts), 256)))
-        lowest = F.when(F.count_if(F.col(order[0]).isNull()) > 0, F.lit(None)).otherwise(F.min(order[0]))
-        first = marked.groupBy("_digest").agg(lowest.alias("_first")).withColumnRenamed("_digest", "_of")
-        # "At most the least" is "equal" written so that the join is by digest alone; rows tied in ``order`` are in one
-        # partition then, and one of them stays.
-        least = (F.col(order[0]) <= F.col("_first")) | (F.col("_first").isNull() & F.col(order[0]).isNull())
-        won = marked.join(first, (F.col("_digest") == F.col("_of")) & least)
-        tied = Window.partitionBy("_digest").orderBy(F.xxhash64(*df.columns))
-        return won.withColumn("_tie", F.row_number().over(tied)).filter("_tie = 1").select(*df.columns)
+        tie = F.shiftrightunsigned(F.xxhash64(*df.columns), 64 - HASH_BITS).cast("decimal(19,0)")
+        place = LONG_ORDERS[kind](F.col(order[0])).cast("decimal(20,0)") + F.lit(str(1 << 63)).cast("decimal(20,0)")
+        step = F.lit(str(1 << HASH_BITS)).cast("decimal(19,0)")
+        named = F.coalesce(place * step + tie, tie - step).cast("decimal(38,0)")
+        marked = df.withColumn("_digest", F.unhex(F.sha2(F.concat(*parts), 256))).withColumn("_name", named)
+        first = marked.groupBy("_digest").agg(F.min("_name").alias("_name"))
+        won = marked.join(first, ["_digest", "_name"], "left_semi")
+        return won.groupBy("_digest", "_name", *df.columns).agg(F.lit(1)).select(*df.columns)
     first = F.min_by(F.struct(*rest), F.struct(*order)).alias("_row")
     out = df.groupBy(*key).agg(first).select(*key, "_row.*")
     return out.select(*df.columns)
