@@ -11,7 +11,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.ml.clustering import GaussianMixture
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -343,20 +343,33 @@ def text_clusters_em(
         key, F.col("prediction").alias("cluster"), F.array_max(vector_to_array("probability")).alias("prob")
     )
     sizes = topic_counts(assigned, k, "cluster").withColumnRenamed("topic", "cluster")
-    n_docs = docs.count()
+    found_terms = cluster_terms(weights, key, assigned, n_terms)
+    distances = centre_distances(docs.sparkSession, [g.mean.toArray() for g in model.gaussians])
+    return TextClusters(assigned, sizes, found_terms, distances)
+
+
+def cluster_terms(weights: DataFrame, key: str, assigned: DataFrame, n_terms: int) -> DataFrame:
+    """The terms of each cluster whose mean weight is most above that of all documents, with their place.
+
+    ``assigned`` has every document with its cluster, also those without a term.
+    """
+    sizes = assigned.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+    n_docs = assigned.count()
     placed = weights.join(assigned.select(key, "cluster"), key).groupBy("cluster", "term").agg(F.sum("value").alias("w"))
     overall = placed.groupBy("term").agg(F.sum("w").alias("all_w"))
     lift = (
         placed.join(overall, "term")
-        .join(F.broadcast(sizes.select("cluster", "n")), "cluster")
+        .join(F.broadcast(sizes), "cluster")
         .select("cluster", "term", (F.col("w") / F.col("n") - F.col("all_w") / n_docs).alias("lift"))
     )
     place = F.row_number().over(Window.partitionBy("cluster").orderBy(F.desc("lift"), "term"))
-    terms = lift.withColumn("place", place).filter(F.col("place") <= n_terms)
-    centres = [g.mean.toArray() for g in model.gaussians]
+    return lift.withColumn("place", place).filter(F.col("place") <= n_terms)
+
+
+def centre_distances(spark: SparkSession, centres: Sequence[Sequence[float]]) -> DataFrame:
+    """Euclidean distance of every pair of cluster centres."""
+    points = np.array(centres, dtype=float)
     pairs = [
-        (i, j, float(math.sqrt(((centres[i] - centres[j]) ** 2).sum()))) for i in range(k) for j in range(i + 1, k)
+        (i, j, float(math.sqrt(((points[i] - points[j]) ** 2).sum()))) for i in range(len(points)) for j in range(i + 1, len(points))
     ]
-    distances = docs.sparkSession.createDataFrame(pairs, "a int, b int, distance double")
-    return TextClusters(assigned, sizes, terms, distances)
-
+    return spark.createDataFrame(pairs, "a int, b int, distance double")

@@ -2,6 +2,7 @@
 
 from loomstat.plans import (  # noqa: F401
     clean_queries,
+    closed_queries,
     model_queries,
     report_queries,
     stream_queries,
