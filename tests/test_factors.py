@@ -91,3 +91,23 @@ def test_strips_are_many_where_cells_are(spark, cells, monkeypatch):
     monkeypatch.setattr(factors, "STRIP_CELLS", 5)
     cut = topics.topics_nmf_kl(df, "id", 2, max_iter=3)
     assert whole.info["losses"] == pytest.approx(cut.info["losses"], rel=1e-9)
+
+
+def test_svd_ends_with_small_residuals_or_an_error(spark, cells):
+    df, v = cells
+    found = topics.topics_svd(df, "id", 3, value="tfidf", extra=2)
+    kept = v[v.sum(axis=1) > 0][:, v.sum(axis=0) > 0]
+    np.testing.assert_allclose(found.info["singular_values"], np.linalg.svd(kept, compute_uv=False)[:3], rtol=1e-9)
+    assert max(found.info["residuals"]) <= 1e-6
+    scores = np.array([r.weights for r in found.docs.collect()])
+    np.testing.assert_allclose(np.sqrt((scores**2).sum(axis=0)), found.info["singular_values"], rtol=1e-9)
+    with pytest.raises(RuntimeError, match="after 2 rounds"):
+        topics.topics_svd(df, "id", 3, value="tfidf", extra=0, rounds=2)
+    assert len(topics.topics_svd(df, "id", 3, value="tfidf", rounds=2, tol=0.0).info["singular_values"]) == 3
+
+
+def test_svd_of_a_table_of_low_rank(spark):
+    rows = [(i, f"t{j}", float((i + 1) * (j + 1))) for i in range(6) for j in range(4)]
+    found = topics.topics_svd(spark.createDataFrame(rows, "id long, term string, value double"), "id", 3)
+    want = np.sqrt(sum((i + 1) ** 2 for i in range(6)) * sum((j + 1) ** 2 for j in range(4)))
+    assert found.info["singular_values"][0] == pytest.approx(want) and found.info["singular_values"][1] < 1e-5 * want
