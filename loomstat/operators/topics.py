@@ -29,8 +29,10 @@ def doc_weights(
 
     The vocabulary is a column, not a list of the driver, so it may be as large as the corpus makes it.
     """
-    n_docs = docs.count()
     counts = doc_term(tokenize(docs, key, text, **analysis), key)
+    if not weighted and min_df == 1 and max_df == 1.0:
+        return counts.select(key, "term", F.col("tf").cast("double").alias("value"))
+    n_docs = docs.count()
     kept = tfidf(limit_terms(counts, key, n_docs, min_df=min_df, max_df=max_df), key, n_docs)
     return kept.select(key, "term", (F.col("tfidf") if weighted else F.col("tf").cast("double")).alias("value"))
 
