@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Up to this many columns the products are plain SQL sums in one generated
@@ -164,3 +164,10 @@ def gram_table(df: DataFrame, xs: Sequence[str], y: str) -> DataFrame:
         for k, (a, b) in enumerate(cells)
     ]
     return sums.select(F.inline(F.array(*rows)))
+
+
+def gram_cells(spark: SparkSession, g: Gram) -> DataFrame:
+    """The uncentred matrix of a Gram as ``gram_table`` has it; moved back from its origin, so to about 13 digits."""
+    names, raw = ["const", *g.xs, g.y], g.raw
+    rows = [(a, names[j], float(raw[i, j])) for i, a in enumerate(names) for j in range(i, len(names))]
+    return spark.createDataFrame(rows, "row_term string, col_term string, value double")

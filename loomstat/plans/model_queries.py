@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from loomstat.functions.words import word_array
 from loomstat.operators import classify, clean, depths, diagnostics, evaluate, linear, selection
 from loomstat.operators.clean import Attr
-from loomstat.operators.gram import gram, gram_table, grams
+from loomstat.operators.gram import gram, gram_cells, gram_table, grams
 from loomstat.operators.logistic import LogitBatch
 from loomstat.plans.catalog import STOP_WORDS, query, rounded, table
 from loomstat.plans.clean_queries import HASH_SQL, KEYS, line_key
@@ -90,6 +90,31 @@ def m3_gram(spark, d):
     return rounded(gram_table(lines, X, Y).withColumn("value", F.col("value") / n), 4)
 
 
+# Twelve columns, more than one aggregate takes: the matrix products of Arrow batches serve them.
+WIDE = {
+    "quantity": "l_quantity", "discount": "l_discount", "tax": "l_tax", "line": "l_linenumber", "supplier": "l_suppkey", "part": "l_partkey % 100",
+    "cut": "l_quantity * l_discount", "paid": "l_quantity * l_tax", "kept": "CASE WHEN l_returnflag = 'N' THEN 1 ELSE 0 END",
+    "returned": "CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END", "open": "CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END", "price": "l_extendedprice / 1000",
+}
+
+
+def _wide_gram_sql() -> str:
+    names = ["const", *WIDE]
+    cells = [(a, b) for i, a in enumerate(names) for b in names[i:]]
+    columns = ", ".join(f"CAST({e} AS DOUBLE) AS {c}" for c, e in WIDE.items())
+    sums = ", ".join(f"sum({a} * {b}) / (count(*) + 1) AS v{i}" for i, (a, b) in enumerate(cells))
+    rows = " UNION ALL ".join(f"SELECT '{a}' AS row_term, '{b}' AS col_term, round(v{i}, 5) + 0.0 AS value FROM s" for i, (a, b) in enumerate(cells))
+    return f"WITH w AS (SELECT CAST(1 AS DOUBLE) AS const, {columns} FROM lineitem), s AS (SELECT {sums} FROM w) {rows}"
+
+
+@query(_wide_gram_sql())
+def m3_gram_wide(spark, d):
+    """Cross products of twelve columns over rows plus one, an odd number by which no value falls between two roundings."""
+    lines = _lines(spark, d).select(*[F.expr(e).cast("double").alias(c) for c, e in WIDE.items()])
+    g = gram(lines, [c for c in WIDE if c != "price"], "price")
+    return rounded(gram_cells(spark, g).withColumn("value", F.col("value") / (g.n + 1)), 5).withColumn("value", F.col("value") + F.lit(0.0))
+
+
 @query(
     """WITH s AS (SELECT count(*) AS n, avg(l_quantity) AS mx, regr_sxx(l_extendedprice, l_quantity) AS sxx, regr_syy(l_extendedprice, l_quantity) AS syy,
             regr_slope(l_extendedprice, l_quantity) AS b, regr_intercept(l_extendedprice, l_quantity) AS a FROM lineitem),
