@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loomstat.functions.words import word_array
-from loomstat.operators import classify, clean, depths, diagnostics, evaluate, linear, selection
+from loomstat.operators import classify, clean, depths, diagnostics, evaluate, linear, selection, topics
 from loomstat.operators.clean import Attr
 from loomstat.operators.gram import gram, gram_cells, gram_table, grams
 from loomstat.operators.logistic import LogitBatch
@@ -213,6 +213,13 @@ def m8_best_alpha(spark, d):
     return linear.best_alpha(linear.path_metrics(spark, linear.lasso_path(rows, NET, xs, PATH_ALPHAS, "split")))
 
 
+@query()
+def m8_best_alpha_bic(spark, d):
+    """The penalty with the least validation BIC, the last on ties."""
+    rows, xs = _design(spark, d)
+    return linear.best_alpha(linear.path_metrics(spark, linear.lasso_path(rows, NET, xs, PATH_ALPHAS, "split")), by="valid_bic", last=True)
+
+
 @query()
 def m9_shrinkage_path(spark, d):
     rows, xs = _design(spark, d)
@@ -683,6 +690,21 @@ def m23_genetic_multiclass(spark, d):
     return selection.hall_of_fame(spark, result)
 
 
+@query()
+def m23_genetic_topics(spark, d):
+    """Best subsets of document measures and topic shares by BIC: the shares of all topics but the last join in as predictors."""
+    k = 4
+    weights = topics.doc_weights(table(spark, d, "documents"), "doc_id", stop_words=STOP_WORDS, min_df=4, max_df=0.5)
+    found = topics.prob_columns(topics.topics_lda(weights, "doc_id", k).docs, k)
+    shares = [f"prob{j}" for j in range(1, k)]
+    # Documents without a kept term belong to each topic alike.
+    rows = doc_features(spark, d).join(found, "doc_id", "left").fillna(1.0 / k, shares)
+    batch = LogitBatch(rows, [*DOC_X, *shares], "label")
+    result = selection.genetic_select(selection.LogitFitness(batch, "bic"), batch.xs, n_generation=10)
+    batch.close()
+    return selection.hall_of_fame(spark, result)
+
+
 @query()
 def m23_genetic_criteria(spark, d):
     """Best subset by each criterion from either start; one Gram matrix serves all six searches."""
