@@ -47,7 +47,7 @@ def attach_by_key(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
     total = rows.count()
     hot = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") * HOT_SHARE > total).select(key)
     hot_rows = table.join(F.broadcast(hot), key, "left_semi")
-    often = rows.join(F.broadcast(hot_rows), key)
+    often = rows.join(F.broadcast(hot), key, "left_semi").join(F.broadcast(hot_rows), key, "left")
     seldom = rows.where(F.col(key).isNotNull()).join(F.broadcast(hot), key, "left_anti").join(table, key, "left")
     return often.unionByName(seldom).unionByName(rows.where(F.col(key).isNull()), allowMissingColumns=True)
 

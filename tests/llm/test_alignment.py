@@ -7,7 +7,7 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from loomstat.llm import alignment
+from loomstat.llm import alignment, common
 from loomstat.llm.queries import BYTE_MODEL, PIECE_MODEL, op12_tokenizer_alignment
 
 
@@ -107,3 +107,24 @@ def test_parts_are_those_of_the_pattern(text):
 def test_whole_table(spark, folder, models):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
     assert by_id(op12_tokenizer_alignment(spark, folder).collect()) == by_id(plain(rows, models))
+
+
+@pytest.mark.parametrize("share", [2, 5, 1000])
+def test_attach_by_key(spark, monkeypatch, share):
+    """Hot, seldom, missing and unmatched keys, whatever counts as hot."""
+    monkeypatch.setattr(common, "HOT_SHARE", share)
+    keys = ["hot"] * 30 + ["warm"] * 8 + [f"k{i}" for i in range(10)] + [None] * 6 + ["absent"] * 2
+    rows = spark.createDataFrame(list(enumerate(keys)), "doc_id long, key string").repartition(3)
+    table = spark.createDataFrame([("hot", 1), ("warm", 2), ("unused", 3), *[(f"k{i}", 10 + i) for i in range(10)]], "key string, v long")
+    value = {r.key: r.v for r in table.collect()}
+    got = sorted((r.doc_id, r.key, r.v) for r in common.attach_by_key(rows, table, "key").collect())
+    assert [r[0] for r in got] == list(range(len(keys)))
+    assert [r[2] for r in got] == [value.get(k) for k in keys]
+
+
+def test_hot_and_seldom_texts(make_docs, models, monkeypatch):
+    monkeypatch.setattr(common, "HOT_SHARE", 4)
+    texts = ["one text that a third of all documents hold"] * 20 + ["another twice"] * 2 + [f"text {i} of its own" for i in range(30)] + [None, ""]
+    docs = make_docs(texts)
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    assert by_id(alignment.align_tokenizers(docs, *models).collect()) == by_id(plain(rows, models))
