@@ -13,7 +13,9 @@ piece, to the ids of its bytes). Path weights add up in the tropical semiring:
   input is accepted, and it is the segmentation that merging gives.
 
 No piece has the visible space after another character, so paths of different
-words are independent, and each distinct word is composed once per cache.
+words are independent. Nor does any path join two characters that are neighbours
+in no piece; words are cut there too, and each distinct part is composed once per
+cache.
 """
 
 from __future__ import annotations
@@ -102,6 +104,13 @@ class PieceTransducer:
         self.unknown_weight = UNKNOWN_PENALTY - least
         # Beginnings of pieces, to stop at the first that no piece has.
         self.beginnings = {name[:n] for name in self.arcs for n in range(1, len(name) + 1)}
+        # How far a piece can reach by the three characters it begins with; others have two at most.
+        self.reach: dict[str, int] = {}
+        for name in self.arcs:
+            if len(name) > 2:
+                self.reach[name[:3]] = max(len(name), self.reach.get(name[:3], 0))
+        # Neighbours in some piece: between any others every path has a boundary.
+        self.joints = {name[i : i + 2] for name in self.arcs for i in range(len(name) - 1)}
         self.dtype = np.dtype("<u2" if len(pieces) <= 1 << 16 else "<u4")
         self.rank = {name: self.weight[i] for name, i in self.arcs.items()}
         self.ends: dict[str, tuple | None] = {}
@@ -223,29 +232,34 @@ class PieceTransducer:
     def accepted(self, text: str) -> list[tuple[int, int, int | None]]:
         """The one path that the acceptor of neighbours lets through, all of whose weights are zero.
 
-        The composition is expanded depth first, long pieces before short ones;
-        a state (last piece, place) that leads nowhere is left once and for all.
+        The composition is expanded depth first, long pieces before short ones,
+        and arcs are made only when they are tried; a state (last piece, place)
+        that leads nowhere is left once and for all.
         """
         n = len(text)
+        arcs, ends, pairs, reach = self.arcs, self.ends, self.pairs, self.reach
         path: list[tuple[int, int, int | None]] = []
         dead: set[tuple[int, int]] = set()
-        choices = [list(self.arcs_from(text, 0))]
-        start, before = 0, ""
+        start, before, end = 0, "", min(n, reach.get(text[:3], 2))
         while start < n:
-            options = choices[-1]
-            while options:
-                end, piece = options.pop()
+            while end > start:
                 part = text[start:end]
-                if (start, end) not in dead and self.sides(part) and (not before or self.follows(before, part)):
-                    path.append((start, end, piece))
-                    choices.append(list(self.arcs_from(text, end)) if end < n else [])
-                    start, before = end, part
-                    break
+                piece = arcs.get(part)
+                if (piece is not None or end == start + 1) and (not dead or (start, end) not in dead) and (ends.get(part) or self.sides(part)):
+                    if not before:
+                        break
+                    fits = pairs.get((before, part))
+                    if fits or (fits is None and self.follows(before, part)):
+                        break
+                end -= 1
+            if end > start:
+                path.append((start, end, piece))
+                start, before = end, part
+                end = min(n, start + reach.get(text[start : start + 3], 2))
             else:
-                choices.pop()
                 low, high, _ = path.pop()
                 dead.add((low, high))
-                start = low
+                start, end = low, high - 1
                 before = text[path[-1][0] : low] if path else ""
         return path
 
@@ -278,18 +292,32 @@ class PieceTransducer:
             out.append(SPACE * spaces)
         return out
 
+    def cut(self, word: str) -> list[str]:
+        """Cut a word where no piece holds both neighbours; unknown characters in a row share an id, so without byte fallback it stays whole."""
+        if not self.byte_ids:
+            return [word]
+        joints = self.joints
+        places = [i for i in range(1, len(word)) if word[i - 1 : i + 1] not in joints]
+        return [word[low:high] for low, high in zip([0, *places], [*places, len(word)])] if places else [word]
+
     def encode(self, text: str) -> np.ndarray:
         """Piece ids of a raw text."""
         cache, out = self.words, []
         for word in self.split(text):
             ids = cache.get(word)
             if ids is None:
-                if len(cache) >= CACHE:
-                    cache.clear()
-                ids = np.array(self.emit(word), dtype=self.dtype).tobytes()
-                if len(word) <= 64:
-                    cache[word] = ids
-            out.append(ids)
+                parts = self.cut(word)
+                for part in parts:
+                    ids = cache.get(part)
+                    if ids is None:
+                        if len(cache) >= CACHE:
+                            cache.clear()
+                        ids = np.array(self.emit(part), dtype=self.dtype).tobytes()
+                        if len(part) <= 64:
+                            cache[part] = ids
+                    out.append(ids)
+            else:
+                out.append(ids)
         return np.frombuffer(b"".join(out), dtype=self.dtype)
 
     def decoded(self, ids: list[int]) -> bytes:
@@ -371,7 +399,9 @@ def encode_digest(docs: DataFrame, model: bytes, doc_id: str = "doc_id", text: s
 
     Encodes and decodes in one pass over Arrow batches, so the ids of long
     texts never travel. round_trip says that decoding gives the text back
-    (visible spaces of the text as spaces).
+    (visible spaces of the text as spaces). Null and empty texts have no
+    pieces; equal rows give equal rows, one each; an empty table gives none.
+    Ids are read as long; other columns are not looked at.
     """
     from hashlib import sha256
 

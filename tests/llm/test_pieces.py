@@ -1,5 +1,7 @@
 """Paths against the library's own encoder, and round trips."""
 
+import random
+
 import pytest
 
 from loomstat.llm import pieces, queries
@@ -40,6 +42,20 @@ def test_merge_model_equals_library(spark, folder, model):
         assert machine.decode(ids) == library.decode(ids) == text.replace("▁", " ")
 
 
+def test_paths_and_cuts_equal_merging(model):
+    """On random strings of piece beginnings and ends the one accepted path is what merging by rank gives."""
+    rng = random.Random(5)
+    machine = pieces.PieceTransducer(model)
+    names = sorted(machine.arcs)
+    for _ in range(3000):
+        text = "".join(rng.choice(names)[: rng.randint(1, 4)] + rng.choice(["", "", "\n", "é", rng.choice(names)[-2:]]) for _ in range(rng.randint(1, 5)))
+        want = [tree[0] for tree in machine.merged(text)]
+        assert [text[low:high] for low, high, _ in machine.accepted(text)] == want
+        parts = machine.cut(text)
+        assert "".join(parts) == text
+        assert [text for part in parts for text in (part[low:high] for low, high, _ in machine.accepted(part))] == want
+
+
 def test_unigram_model_has_least_weight(spark, folder, model):
     changed = as_unigram(model)
     library = sentencepiece.SentencePieceProcessor(model_proto=changed)
