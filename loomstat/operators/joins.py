@@ -37,15 +37,18 @@ def hot_keys(big: DataFrame, column: str, partitions: int) -> list[tuple[object,
 
     A sketch finds them in one pass over the key column that returns at most
     2 * ``partitions`` keys; each gets a salt per share that its rows would fill.
-    Missing keys are one of them where they are that many.
+    Missing keys are one of them where they are that many. Binary keys, which
+    the sketch does not take, go through it as hexadecimal text.
     """
     top = max(1, min(int(partitions / HOT_PART), TRACKED // 2))
     named = F.col(f"`{column}`")
+    binary = big.schema[column].dataType.typeName() == "binary"
+    sketched = f"hex(`{column}`)" if binary else f"`{column}`"
     found = big.agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(named.isNull()).alias("missing"), F.expr(f"approx_top_k(`{column}`, {top}, {TRACKED})").alias("top")
+        F.count(F.lit(1)).alias("n"), F.count_if(named.isNull()).alias("missing"), F.expr(f"approx_top_k({sketched}, {top}, {TRACKED})").alias("top")
     ).first()
     share = max(found["n"] / partitions, 1.0)
-    counted = [(r["item"], r["count"]) for r in found["top"] or [] if r["item"] is not None] + [(None, found["missing"])]
+    counted = [(bytearray.fromhex(r["item"]) if binary else r["item"], r["count"]) for r in found["top"] or [] if r["item"] is not None] + [(None, found["missing"])]
     return [(key, math.ceil(n / (HOT_PART * share))) for key, n in counted if n > HOT_PART * share]
 
 
