@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomstat.llm.common import col, unused
+from loomstat.operators.joins import lookup_join
+from loomstat.session import cut_lineage
 
 # A line on this many sites or more is boilerplate.
 SITES = 5
@@ -34,32 +36,41 @@ def line_keys(docs: DataFrame, doc_id: str, text: str, site: str) -> DataFrame:
 def spread_lines(lines: DataFrame, sites: int = SITES) -> DataFrame:
     """Lines on at least ``sites`` distinct sites: key, first_doc.
 
-    Occurrences are first folded to one row per line and site, so a line that
-    fills a third of a table costs a row per site and task. Lines on one site
-    only (its least and greatest agree) are done there. The others get a sketch
-    of their sites; those whose estimate is near the threshold are counted.
+    Every task folds its lines to one sketch a key, and sketches merge by
+    aggregation, so a line that fills a third of a table costs a row a task.
+    Lines well above the threshold by their estimate are done. Only those near
+    it meet their exact, distinct sites, hot lines spread over salts.
     """
-    pairs = lines.groupBy("key", "site").agg(F.min("doc").alias("doc"))
-    several = pairs.groupBy("key").agg(F.min("site").alias("low"), F.max("site").alias("high"), F.min("doc").alias("first_doc"))
-    several = several.where("low <> high").select("key", "first_doc")
-    shared = pairs.select("key", "site").join(several, "key")
-    sketched = shared.groupBy("key", "first_doc").agg(F.hll_sketch_agg("site", LOG_K).alias("sketch"))
-    estimate = F.hll_sketch_estimate("sketch")
+    sketched = lines.groupBy("key").agg(F.hll_sketch_agg("site", LOG_K).alias("sketch"), F.min("doc").alias("first_doc"))
     margin = max(1.0, ERRORS * ERROR * sites)
-    guessed = sketched.select("key", "first_doc", (estimate - sites).alias("over"))
+    over = F.hll_sketch_estimate("sketch") - sites
+    guessed = cut_lineage(sketched.select("key", "first_doc", over.alias("over")).where(F.col("over") >= -margin))
     sure = guessed.where(F.col("over") > margin).select("key", "first_doc")
-    near = guessed.where(F.abs("over") <= margin).select("key", "first_doc")
-    counted = pairs.select("key").join(near, "key").groupBy("key", "first_doc").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= sites)
-    return sure.union(counted.select("key", "first_doc"))
+    near = guessed.where(F.col("over") <= margin).select(F.col("key").alias("near_key"), "first_doc")
+    pairs = lookup_join(lines.select("key", "site"), near, "key", "inner").groupBy("key", "site").agg(F.min("first_doc").alias("first_doc"))
+    counted = pairs.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("first_doc").alias("first_doc")).where(F.col("n") >= sites)
+    return cut_lineage(sure.union(counted.select("key", "first_doc")))
 
 
 def cut_positions(lines: DataFrame, spread: DataFrame) -> DataFrame:
-    """Positions of the lines to cut: doc, text_hash, cut. The first line of the first document stays."""
-    hits = lines.select("doc", "text_hash", "pos", "key").join(spread, "key")
-    by_line = hits.groupBy("doc", "text_hash", "key").agg(F.collect_list("pos").alias("at"), F.max("first_doc").alias("first_doc"))
+    """Positions of the lines to cut, in order: doc, text_hash, cut. The first line of the first document stays."""
+    hits = lookup_join(lines.select("doc", "text_hash", "pos", "key"), spread.select(F.col("key").alias("cut_key"), "first_doc"), "key", "inner")
+    by_line = hits.groupBy("doc", "text_hash", "key").agg(F.sort_array(F.collect_set("pos")).alias("at"), F.max("first_doc").alias("first_doc"))
     first: Column = F.col("doc") == F.col("first_doc")
-    cut = F.when(first, F.filter("at", lambda p: p > F.array_min("at"))).otherwise(F.col("at"))
-    return by_line.select("doc", "text_hash", cut.alias("cut")).groupBy("doc", "text_hash").agg(F.flatten(F.collect_list("cut")).alias("cut"))
+    cut = F.when(first, F.slice("at", 2, F.size("at"))).otherwise(F.col("at"))
+    by_doc = by_line.select("doc", "text_hash", cut.alias("cut")).groupBy("doc", "text_hash")
+    return by_doc.agg(F.sort_array(F.flatten(F.collect_list("cut"))).alias("cut"))
+
+
+def without(lines: Column, cut: Column) -> Column:
+    """The lines whose positions are not in ``cut``, a sorted array without repeats.
+
+    Gaps between positions become runs of flags, so each line is looked at once.
+    """
+    before = F.concat(F.array(F.lit(-1)), cut)
+    flags = F.flatten(F.zip_with(cut, F.slice(before, 1, F.size(cut)), lambda c, b: F.concat(F.array_repeat(F.lit(True), c - b - 1), F.array(F.lit(False)))))
+    marked = F.zip_with(lines, flags, lambda line, keep: F.struct(line.alias("line"), F.coalesce(keep, F.lit(True)).alias("keep")))
+    return F.transform(F.filter(marked, lambda m: m["keep"]), lambda m: m["line"])
 
 
 def cut_spread_lines(
@@ -82,7 +93,7 @@ def cut_spread_lines(
     keyed = docs.withColumns({doc: F.coalesce(col(doc_id).cast("long"), F.lit(LAST)), hashed: F.xxhash64(col(text))})
     cuts = cuts.select(F.col("doc").alias("_" + doc), F.col("text_hash").alias("_" + hashed), F.col("cut").alias(cut))
     joined = keyed.join(cuts, (F.col(doc) == F.col("_" + doc)) & (F.col(hashed) == F.col("_" + hashed)), "left")
-    left = F.array_join(F.filter(F.split(col(text), "\n", -1), lambda line, i: ~F.array_contains(F.col(cut), i)), "\n")
+    left = F.array_join(without(F.split(col(text), "\n", -1), F.col(cut)), "\n")
     kept = [F.when(F.size(cut) > 0, left).otherwise(col(c)).alias(c) if c == text else col(c) for c in docs.columns if c != count]
     more = [F.coalesce(F.size(cut), F.lit(0)).cast("long").alias(count)] if count else []
     return joined.select(*kept, *more)

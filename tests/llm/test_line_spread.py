@@ -65,3 +65,20 @@ def test_awkward(awkward, nothing):
     assert got.columns == awkward.columns
     assert sorted(((r.doc_id, r.text) for r in got.collect()), key=repr) == brute(rows, 2)
     assert line_spread.cut_spread_lines(nothing).collect() == []
+
+
+def test_text_of_many_repeated_lines(spark):
+    """A text of 100,000 lines, most of them cut, one of them repeated: time grows with the lines, not with their square."""
+    long = "\n".join("again" if i % 2 else f"own {i}" for i in range(100_000))
+    rows = [(9, long, "a"), *[(10 + i, "again\nown 4\nlast", f"s{i}") for i in range(5)], (3, "again\nagain\nx", "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = sorted((r.doc_id, r.text) for r in line_spread.cut_spread_lines(docs, sites=5).collect())
+    assert got == sorted(brute(rows, 5))
+
+
+def test_lines_beyond_broadcast_size(docs, monkeypatch):
+    """The lookups by salted hot keys instead of by broadcast give the same rows."""
+    monkeypatch.setattr("loomstat.operators.joins.fits_broadcast", lambda table: False)
+    rows = [(r.doc_id, r.text, r.source) for r in docs.collect()]
+    got = line_spread.cut_spread_lines(docs, sites=3)
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=repr) == brute(rows, 3)
