@@ -18,6 +18,9 @@ from loomstat.llm.common import col, unused
 SPAN = "array<struct<rank:int,start:int,stop:int,kind:string,score:double>>"
 # Code points on either side of a span in which context words count.
 WINDOW = 40
+# Code points of the blocks a text is cut into to read windows, and matches taken at a time.
+BLOCK = 1000
+CHUNK = 256
 
 
 @dataclass(frozen=True)
@@ -94,19 +97,33 @@ def confirmed(kind: str, found: Column) -> Column:
     return F.lit(True)
 
 
-def spans_of(kind: Kind, rank: int, text: Column, found: Column) -> Column:
-    """Confirmed, scored spans of one kind from the list of its matches.
+def cut_out(blocks: Column, start: Column, size: Column) -> Column:
+    """At most WINDOW code points of a text from ``start``, read from the two blocks that can hold them."""
+    first = F.floor(start / BLOCK).cast("int") + 1
+    near = F.concat(F.coalesce(F.get(blocks, first - 1), F.lit("")), F.coalesce(F.get(blocks, first), F.lit("")))
+    return F.substring(near, start % BLOCK + 1, size)
+
+
+def pairs_of(kind: Kind, text: Column, found: Column) -> Column:
+    """The matches of one kind, each with the piece of text between it and the one before."""
+    between = F.split(text, kind.pattern, -1)
+    return F.when(F.size(found) > 0, F.zip_with(F.slice(between, 1, F.size(found)), found, lambda p, m: F.struct(p.alias("piece"), m.alias("match"))))
+
+
+def spans_of(kind: Kind, rank: int, pairs: Column, blocks: Column) -> Column:
+    """Confirmed, scored spans of one kind from its matches and the blocks of the text.
 
     The text between matches gives the places: match i starts after the first
-    i + 1 pieces and the first i matches.
+    i + 1 pieces and the first i matches. A fold copies its state at every step,
+    so spans are gathered chunk by chunk and windows read from blocks: a step
+    costs about the same however long the text is.
     """
-    between = F.split(text, kind.pattern, -1)
 
     def place(state: Column, item: Column) -> Column:
         start = state["at"] + F.length(item["piece"])
         stop = start + F.length(item["match"])
         window = F.concat(
-            F.substring(text, F.greatest(start - WINDOW, F.lit(0)) + 1, F.least(start, F.lit(WINDOW))), F.lit("\n"), F.substring(text, stop + 1, F.lit(WINDOW))
+            cut_out(blocks, F.greatest(start - WINDOW, F.lit(0)), F.least(start, F.lit(WINDOW))), F.lit("\n"), cut_out(blocks, stop, F.lit(WINDOW))
         )
         score = F.lit(kind.prior) + F.when(F.lower(window).rlike(kind.context), 0.2).otherwise(0.0)
         keep = confirmed(kind.name, item["match"]) if kind.base else confirmed(kind.name, item["match"]) & (score >= kind.floor)
@@ -116,9 +133,17 @@ def spans_of(kind: Kind, rank: int, text: Column, found: Column) -> Column:
         more = F.when(keep, F.concat(state["spans"], F.array(span))).otherwise(state["spans"])
         return F.struct(stop.alias("at"), more.alias("spans"))
 
-    pairs = F.zip_with(F.slice(between, 1, F.size(found)), found, lambda p, m: F.struct(p.alias("piece"), m.alias("match")))
-    begin = F.struct(F.lit(0).alias("at"), F.from_json(F.lit("[]"), SPAN).alias("spans"))
-    return F.when(F.size(found) > 0, F.aggregate(pairs, begin, place)["spans"])
+    def chunk(state: Column, first: Column) -> Column:
+        begin = F.struct(state["at"].alias("at"), F.from_json(F.lit("[]"), SPAN).alias("spans"))
+        # The fold is run once: it is the only element that the transform sees.
+        folded = F.array(F.aggregate(F.slice(pairs, first, CHUNK), begin, place))
+        return F.element_at(
+            F.transform(folded, lambda f: F.struct(f["at"].alias("at"), F.concat(state["done"], F.array(f["spans"])).alias("done"))), 1
+        )
+
+    begin = F.struct(F.lit(0).alias("at"), F.from_json(F.lit("[]"), f"array<{SPAN}>").alias("done"))
+    firsts = F.sequence(F.lit(1), F.size(pairs), F.lit(CHUNK))
+    return F.when(F.size(pairs) > 0, F.aggregate(firsts, begin, chunk, lambda s: F.flatten(s["done"])))
 
 
 def find_personal_data(docs: DataFrame, text: str = "text", out: str = "spans") -> DataFrame:
@@ -129,14 +154,20 @@ def find_personal_data(docs: DataFrame, text: str = "text", out: str = "spans")
     tried again shorter. A null or empty text has an empty array; a column
     named like ``out`` is replaced, all others stay.
     """
-    body, *lists = unused(docs, "pii_text", *[f"pii_{k.name}" for k in KINDS])
+    body, cuts, *names = unused(docs, "pii_text", "pii_blocks", *[f"pii_{k.name}" for k in KINDS], *[f"pii_{k.name}_pairs" for k in KINDS])
+    lists, pairs = names[: len(KINDS)], names[len(KINDS) :]
     full = docs.withColumn(body, F.coalesce(col(text), F.lit("")))
+    found = {}
     for kind, name in zip(KINDS, lists):
         hint = F.contains(F.col(body), F.lit(kind.hint)) if kind.hint else F.col(body).rlike("[0-9]{2}|[0-9][ -][0-9]")
-        full = full.withColumn(name, F.when(hint, F.regexp_extract_all(F.col(body), F.lit(kind.pattern), F.lit(0))))
+        found[name] = F.when(hint, F.regexp_extract_all(F.col(body), F.lit(kind.pattern), F.lit(0)))
+    full = full.withColumns(found)
+    some = sum((F.coalesce(F.size(n), F.lit(0)) for n in lists), F.lit(0)) > 0
+    blocks = F.when(some, F.regexp_extract_all(F.col(body), F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0)))
+    full = full.withColumns({cuts: blocks, **{p: pairs_of(k, F.col(body), F.col(n)) for k, n, p in zip(KINDS, lists, pairs)}})
     empty = F.from_json(F.lit("[]"), SPAN)
-    found = [F.coalesce(spans_of(k, i, F.col(body), F.col(n)), empty) for i, (k, n) in enumerate(zip(KINDS, lists))]
-    return full.withColumn(out, F.array_sort(F.concat(*found))).drop(body, *lists)
+    spans = [F.coalesce(spans_of(k, i, F.col(p), F.col(cuts)), empty) for i, (k, p) in enumerate(zip(KINDS, pairs))]
+    return full.withColumn(out, F.array_sort(F.concat(*spans))).drop(body, cuts, *names)
 
 
 def digest(spans: Column) -> Column:

@@ -92,3 +92,13 @@ def test_redact_and_empty(awkward, nothing):
 def test_no_python_in_plan(awkward):
     plan = personal_data.find_personal_data(awkward.drop("key"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan.replace("PythonRDD", "") or "ArrowEval" not in plan
+
+
+def test_text_of_many_spans(make_docs):
+    """100,000 addresses in one text and context words across block borders: time grows with the spans, not with their square."""
+    far = "x" * 985 + " social security " + "123-45-6789 " + "y" * 3000 + "123-45-6789 " + "é😀" * 480 + " 123-45-6789 " + "z " * 15 + "SSN "
+    docs = make_docs([" ".join(f"a{i}@b.example" for i in range(100_000)), far])
+    rows = {r.doc_id: r for r in personal_data.find_personal_data(docs).select("doc_id", "text", personal_data.digest(F.col("spans")).alias("digest"), "spans").collect()}
+    check(rows.values())
+    assert len(rows[0].spans) == 100_000
+    assert [s.start for s in rows[1].spans if s.kind == "ssn"] == [m.start() for m in re.finditer("123-45", far) if m.start() != 4014]
