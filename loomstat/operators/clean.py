@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loomstat.operators.quantile import column_medians
+
 ROLES = ("interval", "binary", "nominal", "id", "text", "ignore")
 LEVELLED = ("binary", "nominal")
 
@@ -126,10 +128,11 @@ class CleanStats:
 
 
 def learn(
-    df: DataFrame, amap: AttributeMap, no_impute: Sequence[str] = (), interval_fill: str = "mean", accuracy: int = 100_000
+    df: DataFrame, amap: AttributeMap, no_impute: Sequence[str] = (), interval_fill: str = "mean"
 ) -> CleanStats:
     """All statistics in one aggregate. The mode needs no grouping because the
     map lists the levels: it is the largest of one conditional count per level.
+    Medians are exact; the passes that refine them serve all columns at once.
 
     The spread is taken after filling, so it is what a scaler would see.
     """
@@ -146,11 +149,15 @@ def learn(
                 F.avg(value).alias(f"a{i}"),
                 F.var_pop(value).alias(f"v{i}"),
             ]
-            if interval_fill == "median":
-                aggs.append(F.percentile_approx(value, 0.5, accuracy).alias(f"q{i}"))
         else:
             aggs += [F.count_if(F.col(c) == F.lit(v)).alias(f"l{i}_{j}") for j, v in enumerate(attr.domain)]
     row = df.agg(*aggs).first()
+    for i, (c, attr) in enumerate(todo.items()):
+        if attr.role == "interval" and not row[f"n{i}"]:
+            raise ValueError(f"{c} has no value inside its domain")
+    medians = {}
+    if interval_fill == "median":
+        medians = column_medians(df, {c: F.when(_known(c, a), F.col(c).cast("double")) for c, a in todo.items() if a.role == "interval"})
     stats = CleanStats()
     for i, (c, attr) in enumerate(todo.items()):
         if attr.role != "interval":
@@ -158,9 +165,7 @@ def learn(
             stats.fill[c] = min(counts)[1]
             continue
         n, mean, var = row[f"n{i}"], row[f"a{i}"], row[f"v{i}"]
-        if not n:
-            raise ValueError(f"{c} has no value inside its domain")
-        fill = mean if interval_fill == "mean" else row[f"q{i}"]
+        fill = medians.get(c, mean)
         total = row["_rows"]
         centre = (n * mean + (total - n) * fill) / total
         square = n * (var + (mean - centre) ** 2) + (total - n) * (fill - centre) ** 2

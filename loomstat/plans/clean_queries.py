@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from loomstat.operators import clean
 from loomstat.operators.clean import Attr
+from loomstat.operators.quantile import column_medians
 from loomstat.plans.catalog import query, rounded, table
 
 LINE_MAP = {
@@ -94,6 +95,35 @@ def c2_impute_interval(spark, d):
     return rounded(_cleaned(spark, d).select(*KEYS, "l_quantity", "l_discount"))
 
 
+@query(
+    f"""WITH c AS ({CLEANED_SQL})
+        SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
+               round(coalesce(l_quantity, (SELECT median(l_quantity) FROM c)), 6) AS l_quantity,
+               round(coalesce(l_discount, (SELECT median(l_discount) FROM c)), 6) AS l_discount,
+               round(coalesce(l_tax, (SELECT median(l_tax) FROM c)), 6) AS l_tax
+        FROM c WHERE l_extendedprice IS NOT NULL"""
+)
+def c2_impute_median(spark, d):
+    return rounded(_cleaned(spark, d, interval_fill="median").select(*KEYS, "l_quantity", "l_discount", "l_tax"))
+
+
+@query(
+    """WITH i AS (
+            SELECT CASE WHEN l_extendedprice BETWEEN 1000 AND 100000 THEN l_extendedprice * (1 - l_discount) END AS net,
+                   l_extendedprice, l_quantity, l_discount, l_tax FROM lineitem)
+        SELECT 'net' AS attribute, round(median(net), 6) AS median FROM i
+        UNION ALL SELECT 'l_extendedprice', round(median(l_extendedprice), 6) FROM i
+        UNION ALL SELECT 'l_quantity', round(median(l_quantity), 6) FROM i
+        UNION ALL SELECT 'l_discount', round(median(l_discount), 6) FROM i
+        UNION ALL SELECT 'l_tax', round(median(l_tax), 6) FROM i"""
+)
+def c2_exact_medians(spark, d):
+    """Medians of many columns and one expression, none of them approximate."""
+    net = F.when(F.col(TARGET).between(1000, 100000), F.col(TARGET) * (1 - F.col("l_discount")))
+    found = column_medians(_lines(spark, d), {"net": net, **{c: F.col(c) for c in (TARGET, "l_quantity", "l_discount", "l_tax")}})
+    return rounded(spark.createDataFrame(sorted(found.items()), "attribute string, median double"))
+
+
 @query(
     f"""WITH c AS ({CLEANED_SQL}),
         m AS (SELECT l_returnflag AS v FROM c WHERE l_returnflag IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)
