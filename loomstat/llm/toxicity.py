@@ -310,6 +310,9 @@ def fit(
     Labels come from rows whose crc32(doc_id as text) mod 4 is not 2. The sample (``rows``) bounds mining and the classifier; the
     label model reads the votes of all documents. Without both classes among
     the labels the classifier is the label model's prior alone.
+
+    Null and empty texts have no votes. Rows that repeat an id each count; an id labelled twice is toxic if either label says so. Only the
+    named columns are read, so others may have any name. Ids must be castable to long; null ids are never learnt from.
     """
     known = training_labels(labels, doc_id, label)
     sample = labelled_sample(docs, known, doc_id, text, rows)
@@ -348,7 +351,8 @@ def fit(
 
 
 def score(docs: DataFrame, model: ToxicityModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, score, votes) of every row; the score sees the text only. Null and empty texts have the score of no word at all."""
+    """(doc_id, score) of every row, repeated rows included; the score sees the text only. Null and empty texts have the score of no
+    word at all; an empty table gives no row; other columns are not read."""
     shared = docs.sparkSession.sparkContext.broadcast((model.features, model.weights, model.intercept, model.voters.mined, model.label_model))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -363,7 +367,8 @@ def score(docs: DataFrame, model: ToxicityModel, doc_id: str = "doc_id", text: s
 
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.3) -> DataFrame:
-    """The documents whose score is below the threshold. Texts are scored in place, so nothing is shuffled."""
+    """The documents whose score is below the threshold, with all their columns. Texts are scored in place, so nothing is shuffled. Null and
+    empty texts have the score of no word at all and stay unless that reaches the threshold; repeated rows share one fate."""
     shared = docs.sparkSession.sparkContext.broadcast((model.features, model.weights, model.intercept, model.voters.mined, model.label_model))
 
     @F.pandas_udf("double")

@@ -84,3 +84,55 @@ def test_awkward(awkward, nothing, model, spark):
         assert all(r.score < 0.5 for r in toxicity.score(docs, blank).collect())
     odd = spark.createDataFrame([(None, 1), (1, None), (2, 5), (3, 1), (3, 0)], "doc_id long, toxic int")
     toxicity.fit(awkward, odd)
+
+
+def test_label_model_equals_plain_em(spark):
+    """Every round against sums over the single documents, without folding or matrices of cells."""
+    rng = random.Random(11)
+    names = ["a", "b", "c", *toxicity.ANNOTATORS]
+    docs = []
+    for _ in range(600):
+        bad = rng.random() < 0.2
+        on = [rng.random() < (p if bad else q) for p, q in ((0.7, 0.02), (0.5, 0.1), (0.4, 0.05))]
+        told = rng.random() < 0.4
+        docs.append([*on, told and bad, told and not bad])
+    m, n = len(names), len(docs)
+    rate = [(sum(d[i] for d in docs) + 0.5) / (n + 1) for i in range(m)]
+    prior, weights = 0.1, [m**-0.5] * 3 + [1.0, 1.0]
+    toxic = [min(max(0.3, 1.5 * r), 0.95) for r in rate[:3]] + [0.97, 0.03]
+    clean = [min(max(0.8 * r, 1e-5), 0.9) for r in rate[:3]] + [0.03, 0.97]
+
+    def posterior(d):
+        z = np.log(prior / (1 - prior))
+        for i in range(m):
+            if d[i]:
+                z += weights[i] * np.log(toxic[i] / clean[i])
+            elif i < 3:
+                z += weights[i] * np.log((1 - toxic[i]) / (1 - clean[i]))
+        return 1 / (1 + np.exp(-z))
+
+    for _ in range(toxicity.ROUNDS):
+        p = [posterior(d) for d in docs]
+        sums = {1: max(sum(p), 1.0), 0: max(n - sum(p), 1.0)}
+        mass = {1: p, 0: [1 - x for x in p]}
+        together = {k: [[sum(w for w, d in zip(mass[k], docs) if d[i] and d[j]) for j in range(m)] for i in range(m)] for k in (0, 1)}
+        shared = [0.0] * 3
+        for i in range(3):
+            for j in range(3):
+                if i != j:
+                    found = []
+                    for k in (0, 1):
+                        ri, rj = ((together[k][x][x] + 0.5) / (sums[k] + 1) for x in (i, j))
+                        found.append((together[k][i][j] / sums[k] - ri * rj) / (ri * (1 - ri) * rj * (1 - rj)) ** 0.5)
+                    shared[i] += min(max(*found, 0), 1)
+        # Labels may say either; no other voter is worse than chance.
+        on = {k: [min(max((together[k][i][i] + 0.5) / (sums[k] + 1), (1e-5, 1e-4)[k]), 0.99) for i in range(m)] for k in (0, 1)}
+        toxic = [max(a, b) for a, b in zip(on[1][:3], on[0])] + on[1][3:]
+        clean = [min(a, b) for a, b in zip(on[1][:3], on[0])] + on[0][3:]
+        prior, weights[:3] = min(max(sums[1] / n, 0.005), 0.5), [1 / (1 + x) for x in shared]
+    masks = [sum(1 << i for i in range(m) if d[i]) for d in docs]
+    fitted = toxicity.fit_label_model(spark.createDataFrame([(x,) for x in masks], "votes long"), names)
+    assert fitted.prior == pytest.approx(prior, abs=1e-9)
+    for got, want in ((fitted.toxic, toxic), (fitted.clean, clean), (fitted.weights, weights)):
+        assert got == pytest.approx(np.array(want), abs=1e-9)
+    assert fitted.posterior(np.array(masks)) == pytest.approx(np.array([posterior(d) for d in docs]), abs=1e-9)
