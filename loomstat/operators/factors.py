@@ -14,12 +14,12 @@ import math
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomstat.operators.joins import fits_broadcast, lookup_join
+from loomstat.operators.joins import fits_broadcast
+from loomstat.operators.strips import Strip, Strips, by_term, list_rows, strips_of, sum_by, totals
 from loomstat.session import cut_lineage, release
 
 TINY = 1e-12
@@ -27,51 +27,32 @@ TINY = 1e-12
 STRIP_CELLS = 1_000_000
 
 
-def pack(table: pa.Table) -> pa.Table:
-    """The cells of one strip as one row: distinct keys and terms, and places and values as bytes."""
-    docs, terms = (pc.dictionary_encode(table[c].combine_chunks()) for c in ("doc", "term"))
-    if isinstance(docs, pa.ChunkedArray):
-        docs, terms = docs.combine_chunks(), terms.combine_chunks()
-    order = np.argsort(docs.indices.to_numpy(zero_copy_only=False), kind="stable")
-
-    def places(a: pa.DictionaryArray) -> bytes:
-        return a.indices.to_numpy(zero_copy_only=False)[order].astype("<i4").tobytes()
-
-    values = table["v"].to_numpy()[order].astype("<f8").tobytes()
-    return pa.table(
-        {
-            "strip": table["strip"].slice(0, 1),
-            "docs": pa.array([docs.dictionary.to_pylist()], pa.list_(docs.dictionary.type)),
-            "terms": pa.array([terms.dictionary.to_pylist()], pa.list_(pa.string())),
-            "doc_at": [places(docs)],
-            "term_at": [places(terms)],
-            "values": [values],
-        }
-    )
-
-
-def scattered(at: np.ndarray, weight: np.ndarray, rows: int, other: np.ndarray) -> np.ndarray:
-    """Sum of weight times the other factor's row, by place."""
-    return np.column_stack([np.bincount(at, weight * other[:, j], minlength=rows) for j in range(other.shape[1])])
-
-
-def round_of(kl: bool, w: np.ndarray, h: np.ndarray, d: np.ndarray, t: np.ndarray, v: np.ndarray, below: np.ndarray, l1: float, l2: float):
+def round_of(kl: bool, strip: Strip, w: np.ndarray, below: np.ndarray, l1: float, l2: float):
     """New document weights of a strip, what it adds to its terms, and its part of the loss before the round.
 
     ``below``: column sums of the term factor (Kullback-Leibler) or its matrix of products (squared).
     """
+    new, adds, loss = np.empty_like(w), np.zeros_like(strip.table), 0.0
+    for low, high in strip.blocks():
+        part = slice(strip.first[low], strip.first[high])
+        d, v, own = strip.d[part] - low, strip.v[part], w[low:high]
+        h = strip.table[strip.t[part]]
 
-    def shares(w):
-        return v / ((w[d] * h[t]).sum(axis=1) + TINY) if kl else v
+        def guess(rows: np.ndarray) -> np.ndarray:
+            return np.einsum("ij,ij->i", rows[d], h)
 
-    part = shares(w)
-    if kl:
-        loss = float((v * np.log(np.maximum(part, TINY))).sum() - v.sum())
-    else:
-        loss = float(0.5 * (v * v).sum() - (v * (w[d] * h[t]).sum(axis=1)).sum())
-    under = below if kl else w @ below
-    new = w * scattered(d, part, len(w), h[t]) / (under + l1 + l2 * w + TINY)
-    return new, scattered(t, shares(new), len(h), new[d]), loss
+        if kl:
+            share = v / (guess(own) + TINY)
+            loss += float((v * np.log(np.maximum(share, TINY))).sum() - v.sum())
+        else:
+            share = v
+            loss += float(0.5 * (v * v).sum() - (v * guess(own)).sum())
+        under = below if kl else own @ below
+        over = np.add.reduceat(h * share[:, None], strip.first[low:high] - strip.first[low], axis=0)
+        found = new[low:high] = own * over / (under + l1 + l2 * own + TINY)
+        share = v / (guess(found) + TINY) if kl else v
+        adds += sum_by(strip.t[part], found[d] * share[:, None], len(adds))
+    return new, adds, loss
 
 
 def factorise(
@@ -85,34 +66,32 @@ def factorise(
     the columns ``doc`` and ``term`` in place of those that ``keyed_start`` draws.
     """
     spark = weights.sparkSession
-    cells = cut_lineage(weights.select(F.col(key).alias("doc"), F.col("term"), F.col(value).cast("double").alias("v")).where("v > 0"))
-    size = cells.agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("s"), F.count_distinct("doc").alias("docs"), F.count_distinct("term").alias("terms")).first()
-    doc_type = cells.schema["doc"].dataType
-    if not size["n"]:
+    cells = weights.select(F.col(key).alias("doc"), F.col("term"), F.col(value).cast("double").alias("v")).where("v > 0")
+    strips = Strips(cells, STRIP_CELLS)
+    doc_type = weights.schema[key].dataType
+
+    def volume_of(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([np.frombuffer(b.as_py(), dtype="<f8").sum() for b in batch.column(0)], pa.float64())], ["s"])
+
+    n_docs = strips.rows.agg(F.sum(F.size("docs"))).first()[0]
+    if not n_docs:
+        strips.release()
         none = spark.createDataFrame([], T.StructType([T.StructField(key, doc_type), T.StructField("weights", T.ArrayType(T.DoubleType()))]))
         return none, spark.createDataFrame([], "topic int, term string, weight double"), []
-    level = math.sqrt(size["s"] / size["docs"] / size["terms"] / k)
+    volume = strips.rows.select("values").mapInArrow(volume_of, "s double").agg(F.sum("s")).first()[0]
+    seeds = cut_lineage(strips.terms)
+    level = math.sqrt(volume / n_docs / seeds.count() / k)
     w_start, h_start = start or (keyed_start("doc", "w", k, seed, level), keyed_start("term", "h", k, seed + 1, level))
     names = [f"h{j}" for j in range(k)]
     l1, l2 = alpha * l1_ratio, alpha * (1.0 - l1_ratio)
-    n_strips = max(spark.sparkContext.defaultParallelism, math.ceil(size["n"] / STRIP_CELLS))
-
-    packed_schema = T.StructType(
-        [
-            T.StructField("strip", T.IntegerType()),
-            T.StructField("docs", T.ArrayType(doc_type)),
-            T.StructField("terms", T.ArrayType(T.StringType())),
-            *[T.StructField(c, T.BinaryType()) for c in ("doc_at", "term_at", "values")],
-        ]
-    )
-    dealt = cells.withColumn("strip", F.pmod(F.xxhash64("doc"), F.lit(n_strips)).cast("int"))
-    strips = dealt.groupBy("strip").applyInArrow(pack, packed_schema).repartition("strip").persist()
-    wanted = strips.select("strip", F.posexplode("terms").alias("at", "term")).persist()
-    first = strips.select("strip", F.posexplode("docs").alias("at", "doc")).select("strip", "at", F.array(*w_start).alias("w"))
+
+    first = strips.rows.select("strip", F.posexplode("docs").alias("at", "doc")).select("strip", "at", F.array(*w_start).alias("w"))
     first = first.groupBy("strip").agg(F.array_sort(F.collect_list(F.struct("at", "w"))).alias("rows"))
-    # The stored table that holds the documents' weights: the start, then what the last pass gave.
-    held = state = cut_lineage(first.select("strip", F.flatten(F.transform("rows", lambda r: r["w"])).alias("w")))
-    h = cut_lineage(cells.select("term").distinct().select("term", *[c.alias(n) for c, n in zip(h_start, names)]))
+    # The documents' weights: the start, then what the last pass gave.
+    state = cut_lineage(first.select("strip", F.flatten(F.transform("rows", lambda r: r["w"])).alias("w")))
+    h = cut_lineage(seeds.select("term", *[c.alias(n) for c, n in zip(h_start, names)]))
+    release(seeds)
 
     # Every round's term table has as many rows of the same width.
     small = fits_broadcast(h)
@@ -124,47 +103,41 @@ def factorise(
 
     def passed(under: np.ndarray):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for row in range(batch.num_rows):
-                    cell = {name: batch.column(i)[row] for i, name in enumerate(batch.schema.names)}
-                    d, t = (np.frombuffer(cell[c].as_py(), dtype="<i4") for c in ("doc_at", "term_at"))
-                    v = np.frombuffer(cell["values"].as_py(), dtype="<f8")
-                    w = cell["w"].values.to_numpy().reshape(-1, k)
-                    terms, rows = cell["terms"].values, cell["rows"].values
-                    local = np.zeros((len(terms), k))
-                    at = rows.field("at").to_numpy()
-                    for j, name in enumerate(names):
-                        local[at, j] = rows.field(name).to_numpy()
-                    new, adds, loss = round_of(kl, w, local, d, t, v, under, l1, l2)
+            done = []
+
+            def parts():
+                for strip in strips_of(batches, k):
+                    w = strip.cell["w"].values.to_numpy().reshape(-1, k)
+                    new, adds, loss = round_of(kl, strip, w, under, l1, l2)
                     # What the loss and the other update need of all documents: before the round, and after it.
                     sums = [w.sum(axis=0), new.sum(axis=0)] if kl else [(w.T @ w).ravel(), (new.T @ new).ravel()]
-                    own = pa.array([np.concatenate([[loss], *sums]).tolist()], pa.list_(pa.float64()))
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.concat_arrays([pa.array([cell["strip"].as_py()], pa.int32()), pa.nulls(len(terms), pa.int32())]),
-                            pa.concat_arrays([pa.nulls(1, pa.string()), terms.cast(pa.string())]),
-                            pa.concat_arrays([own, pa.ListArray.from_arrays(np.arange(0, adds.size + 1, k, dtype=np.int32), adds.ravel())]),
-                            pa.concat_arrays([pa.array([new.ravel().tolist()], pa.list_(pa.float64())), pa.nulls(len(terms), pa.list_(pa.float64()))]),
-                        ],
-                        names=["strip", "term", "cells", "w"],
-                    )
+                    done.append((strip.number, np.concatenate([[loss], *sums]), new.ravel()))
+                    yield strip.terms, adds
+
+            for terms, sums in by_term(parts()):
+                n = len(terms)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.nulls(n, pa.int64()), terms, list_rows(sums), pa.nulls(n, pa.list_(pa.float64()))], names=["strip", "term", "cells", "w"]
+                )
+            for number, own, new in done:
+                lists = [pa.array([a.tolist()], pa.list_(pa.float64())) for a in (own, new)]
+                yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.nulls(1, pa.string()), *lists], names=["strip", "term", "cells", "w"])
 
         return run
 
-    out_schema = "strip int, term string, cells array<double>, w array<double>"
+    out_schema = "strip long, term string, cells array<double>, w array<double>"
     losses: list[float] = []
     for _ in range(max_iter):
         under = below()
-        rows = lookup_join(wanted, h, "term", how="inner", bounded=small).groupBy("strip").agg(F.collect_list(F.struct("at", *names)).alias("rows"))
-        met = strips.drop("docs").join(state, "strip").join(rows, "strip")
-        out = cut_lineage(met.mapInArrow(passed(under), out_schema))
-        sums = out.where("strip is not null").select(F.posexplode("cells").alias("pos", "v")).groupBy("pos").agg(F.sum("v").alias("v"))
-        total = np.array([r["v"] for r in sorted(sums.collect(), key=lambda r: r["pos"])])  # 1 + 2k or 1 + 2kk numbers
+        met = strips.met(strips.rows.drop("docs").join(state.hint("shuffle_hash"), "strip"), h, names, small)
+        # Kept in memory for its three readers; only the two small factors are stored.
+        out = met.mapInArrow(passed(under), out_schema).persist()
+        total = totals(out)  # 1 + 2k or 1 + 2kk numbers
         before, after = np.split(total[1:], 2)
         volume = float((before * under.ravel()).sum())
         losses.append(float(total[0] + (volume if kl else 0.5 * volume)))
         if len(losses) > 1 and abs(losses[-2] - losses[-1]) <= tol * max(abs(losses[0]), TINY):
-            release(out)
+            out.unpersist()
             break
         adds = out.where("term is not null").groupBy("term").agg(*[F.sum(F.col("cells")[j]).alias(f"n{j}") for j in range(k)])
 
@@ -175,12 +148,13 @@ def factorise(
 
         new = [(F.col(c) * F.col(f"n{j}") / (divisor(j) + l1 + l2 * F.col(c) + TINY)).alias(c) for j, c in enumerate(names)]
         next_h = cut_lineage(h.join(adds, "term").select("term", *new))
-        for old in (h, held):
+        next_state = cut_lineage(out.where("strip is not null").select("strip", "w"))
+        out.unpersist()
+        for old in (h, state):
             release(old)
-        h, held, state = next_h, out, out.where("strip is not null").select("strip", "w")
+        h, state = next_h, next_state
     weights_of = F.transform("docs", lambda doc, i: F.struct(doc.alias("doc"), F.slice("w", i * k + 1, F.lit(k)).alias("w")))
-    docs = cut_lineage(strips.select("strip", "docs").join(state, "strip").select(F.explode(weights_of).alias("r")).select(F.col("r.doc").alias(key), F.col("r.w").alias("weights")))
+    docs = cut_lineage(strips.rows.select("strip", "docs").join(state, "strip").select(F.explode(weights_of).alias("r")).select(F.col("r.doc").alias(key), F.col("r.w").alias("weights")))
     terms = h.select("term", F.posexplode(F.array(*names)).alias("topic", "weight")).select("topic", "term", "weight")
-    wanted.unpersist()
-    strips.unpersist()
+    strips.release()
     return docs, terms, losses
