@@ -23,7 +23,7 @@ def _docs(spark, d):
 
 
 def _counts(spark, d, **analysis):
-    return terms.doc_term(terms.tokenize(_docs(spark, d), "doc_id", **analysis), "doc_id")
+    return terms.doc_term(terms.tokenize(_docs(spark, d), "doc_id", together=True, **analysis), "doc_id")
 
 
 @query(f"SELECT doc_id, CAST(pos AS INTEGER) AS pos, term FROM ({TOKENS_SQL})")
