@@ -409,11 +409,11 @@ def cluster_terms(weights: DataFrame, key: str, assigned: DataFrame, n_terms: in
     """
     sizes = assigned.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
     n_docs = assigned.count()
-    placed = weights.join(assigned.select(key, "cluster"), key).groupBy("cluster", "term").agg(F.sum("value").alias("w"))
-    overall = placed.groupBy("term").agg(F.sum("w").alias("all_w"))
+    placed = weights.filter(F.col("term").isNotNull()).join(assigned.select(key, "cluster"), key).groupBy("cluster", "term").agg(F.sum("value").alias("w"))
+    # A term has a row per cluster here. A join with a second aggregate would count the words of all documents again.
+    summed = placed.withColumn("all_w", F.sum("w").over(Window.partitionBy("term")))
     lift = (
-        placed.join(overall, "term")
-        .join(F.broadcast(sizes), "cluster")
+        summed.join(F.broadcast(sizes), "cluster")
         .select("cluster", "term", (F.col("w") / F.col("n") - F.col("all_w") / n_docs).alias("lift"))
     )
     place = F.row_number().over(Window.partitionBy("cluster").orderBy(F.desc("lift"), "term"))
