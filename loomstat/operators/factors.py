@@ -1,15 +1,15 @@
 """Non-negative factors of a long (key, term, value) table by multiplicative updates.
 
-The cells are packed once into strips of whole documents. A strip holds the
-weights of its documents, so a round takes a single pass: every strip meets the
-rows of the term table that it has cells of, updates its documents, and sends
+The cells are packed once into bundles of whole documents. The weights of documents
+lie by strip, so a round takes a single pass: every bundle meets the
+rows of the term factor that it has cells of, updates its documents, and sends
 what its cells add to those terms. Neither factor has to fit on one machine,
 and the cells never move again. The loss of a round comes with the next pass.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 import math
 
 import numpy as np
@@ -18,9 +18,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomstat.operators.joins import fits_broadcast
-from loomstat.operators.strips import Strip, Strips, by_term, list_rows, strips_of, sum_by, totals
-from loomstat.session import cut_lineage, release
+from loomstat.operators.bundles import ADDS, TOTALS, Bundle, Bundles, Strip, binary, floats, own_sum, total_of
+from loomstat.operators.strips import list_rows, sum_by
+from loomstat.session import cut_lineage, release, sweep
 
 TINY = 1e-12
 # Cells of a strip, about.
@@ -67,94 +67,79 @@ def factorise(
     """
     spark = weights.sparkSession
     cells = weights.select(F.col(key).alias("doc"), F.col("term"), F.col(value).cast("double").alias("v")).where("v > 0")
-    strips = Strips(cells, STRIP_CELLS)
+    packed = Bundles(cells, k, STRIP_CELLS)
     doc_type = weights.schema[key].dataType
-
-    def volume_of(batches):
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([np.frombuffer(b.as_py(), dtype="<f8").sum() for b in batch.column(0)], pa.float64())], ["s"])
-
-    n_docs = strips.rows.agg(F.sum(F.size("docs"))).first()[0]
-    if not n_docs:
-        strips.release()
+    if not packed.n_docs:
+        packed.release()
         none = spark.createDataFrame([], T.StructType([T.StructField(key, doc_type), T.StructField("weights", T.ArrayType(T.DoubleType()))]))
         return none, spark.createDataFrame([], "topic int, term string, weight double"), []
-    volume = strips.rows.select("values").mapInArrow(volume_of, "s double").agg(F.sum("s")).first()[0]
-    seeds = cut_lineage(strips.terms)
-    level = math.sqrt(volume / n_docs / seeds.count() / k)
+    level = math.sqrt(packed.volume / packed.n_docs / packed.n_terms / k)
     w_start, h_start = start or (keyed_start("doc", "w", k, seed, level), keyed_start("term", "h", k, seed + 1, level))
-    names = [f"h{j}" for j in range(k)]
     l1, l2 = alpha * l1_ratio, alpha * (1.0 - l1_ratio)
 
-    first = strips.rows.select("strip", F.posexplode("docs").alias("at", "doc")).select("strip", "at", F.array(*w_start).alias("w"))
-    first = first.groupBy("strip").agg(F.array_sort(F.collect_list(F.struct("at", "w"))).alias("rows"))
-    # The documents' weights: the start, then what the last pass gave.
-    state = cut_lineage(first.select("strip", F.flatten(F.transform("rows", lambda r: r["w"])).alias("w")))
-    h = cut_lineage(seeds.select("term", *[c.alias(n) for c, n in zip(h_start, names)]))
-    release(seeds)
+    def own_of(h: np.ndarray) -> np.ndarray:
+        """What a round needs of the whole term factor: its column sums (Kullback-Leibler) or its matrix of products."""
+        return h.sum(axis=0) if kl else (h.T @ h).ravel()
 
-    # Every round's term table has as many rows of the same width.
-    small = fits_broadcast(h)
-
-    def below() -> np.ndarray:
-        if kl:
-            return np.array(h.agg(*[F.sum(c) for c in names]).first(), dtype=float)
-        return np.array(h.agg(*[F.sum(F.col(a) * F.col(b)) for a in names for b in names]).first(), dtype=float).reshape(k, k)
+    h = packed.factor(h_start, own_of)
+    # The documents' weights: the start, then what the last pass gave.
+    state = stored = packed.documents_state(w_start)
 
     def passed(under: np.ndarray):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            done = []
-
-            def parts():
-                for strip in strips_of(batches, k):
-                    w = strip.cell["w"].values.to_numpy().reshape(-1, k)
-                    new, adds, loss = round_of(kl, strip, w, under, l1, l2)
-                    # What the loss and the other update need of all documents: before the round, and after it.
-                    sums = [w.sum(axis=0), new.sum(axis=0)] if kl else [(w.T @ w).ravel(), (new.T @ new).ravel()]
-                    done.append((strip.number, np.concatenate([[loss], *sums]), new.ravel()))
-                    yield strip.terms, adds
-
-            for terms, sums in by_term(parts()):
-                n = len(terms)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(n, pa.int64()), terms, list_rows(sums), pa.nulls(n, pa.list_(pa.float64()))], names=["strip", "term", "cells", "w"]
-                )
-            for number, own, new in done:
-                lists = [pa.array([a.tolist()], pa.list_(pa.float64())) for a in (own, new)]
-                yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.nulls(1, pa.string()), *lists], names=["strip", "term", "cells", "w"])
-
-        return run
-
-    out_schema = "strip long, term string, cells array<double>, w array<double>"
+        def work(bundle: Bundle) -> pa.Table:
+            adds, sums, numbers, found = np.zeros_like(bundle.table), 0.0, [], []
+            for number, _, strip in bundle.strips():
+                w = floats(bundle.states[number], k)
+                new, own, loss = round_of(kl, strip, w, under, l1, l2)
+                adds[strip.at] += own
+                # What the loss and the other update need of all documents: before the round, and after it.
+                sums = sums + np.concatenate([[loss], *([w.sum(axis=0), new.sum(axis=0)] if kl else [(w.T @ w).ravel(), (new.T @ new).ravel()])])
+                numbers.append(number)
+                found.append(new)
+            out, n = bundle.sent(adds, sums), len(numbers)
+            terms = out.append_column("bundle", pa.nulls(len(out), pa.int64())).append_column("strip", pa.nulls(len(out), pa.int32()))
+            docs = [pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), binary(found), pa.array([bundle.number] * n, pa.int64()), pa.array(numbers, pa.int32())]
+            return pa.concat_tables([terms, pa.table(docs, schema=terms.schema)])
+
+        return work
+
     losses: list[float] = []
     for _ in range(max_iter):
-        under = below()
-        met = strips.met(strips.rows.drop("docs").join(state.hint("shuffle_hash"), "strip"), h, names, small)
-        # Kept in memory for its three readers; only the two small factors are stored.
-        out = met.mapInArrow(passed(under), out_schema).persist()
-        total = totals(out)  # 1 + 2k or 1 + 2kk numbers
+        under = own_sum(h)
+        under = under if kl else under.reshape(k, k)
+        out = cut_lineage(packed.passed(h, k, passed(under), f"{ADDS}, bundle long, strip int", state=state), sized=False)
+        total = total_of(out.where(F.col("block") == TOTALS).select("sums").toArrow()["sums"])  # 1 + 2k or 1 + 2kk numbers
         before, after = np.split(total[1:], 2)
         volume = float((before * under.ravel()).sum())
         losses.append(float(total[0] + (volume if kl else 0.5 * volume)))
         if len(losses) > 1 and abs(losses[-2] - losses[-1]) <= tol * max(abs(losses[0]), TINY):
-            out.unpersist()
+            release(out)
             break
-        adds = out.where("term is not null").groupBy("term").agg(*[F.sum(F.col("cells")[j]).alias(f"n{j}") for j in range(k)])
-
-        def divisor(j: int) -> Column:
-            if kl:
-                return F.lit(float(after[j]))
-            return sum((F.col(c) * float(after[i * k + j]) for i, c in enumerate(names)), F.lit(0.0))
-
-        new = [(F.col(c) * F.col(f"n{j}") / (divisor(j) + l1 + l2 * F.col(c) + TINY)).alias(c) for j, c in enumerate(names)]
-        next_h = cut_lineage(h.join(adds, "term").select("term", *new))
-        next_state = cut_lineage(out.where("strip is not null").select("strip", "w"))
-        out.unpersist()
-        for old in (h, state):
+
+        def update(adds: np.ndarray, old: np.ndarray, after: np.ndarray = after) -> np.ndarray:
+            divisor = after if kl else old @ after.reshape(k, k)
+            return old * adds / (divisor + l1 + l2 * old + TINY)
+
+        adds = out.where(F.col("block") != TOTALS).select("block", "idx", "sums")
+        next_h = cut_lineage(packed.updated(adds, h, k, update, own_of), sized=False)
+        for old in (h, stored):
             release(old)
-        h, state = next_h, next_state
-    weights_of = F.transform("docs", lambda doc, i: F.struct(doc.alias("doc"), F.slice("w", i * k + 1, F.lit(k)).alias("w")))
-    docs = cut_lineage(strips.rows.select("strip", "docs").join(state, "strip").select(F.explode(weights_of).alias("r")).select(F.col("r.doc").alias(key), F.col("r.w").alias("weights")))
-    terms = h.select("term", F.posexplode(F.array(*names)).alias("topic", "weight")).select("topic", "term", "weight")
-    strips.release()
+        h, stored = next_h, out
+        state = out.where("block is null").select("bundle", "strip", F.col("sums").alias("cells"))
+        sweep(spark)
+
+    def of_documents(strips: pa.Table, states: pa.Table) -> pa.Table:
+        weights_of = dict(zip(states["strip"].to_pylist(), states["cells"]))
+        docs = [d.values for d in strips["docs"]]
+        found = [floats(weights_of[s], k) for s in strips["strip"].to_pylist()]
+        return pa.table([pa.concat_arrays(docs), list_rows(np.concatenate(found))], names=[key, "weights"])
+
+    schema = T.StructType([T.StructField(key, doc_type), T.StructField("weights", T.ArrayType(T.DoubleType()))])
+    strips = packed.rows.select("bundle", "strip", "docs")
+    docs = cut_lineage(strips.groupBy("bundle").cogroup(state.groupBy("bundle")).applyInArrow(of_documents, schema))
+    terms = cut_lineage(packed.term_rows(h, k, lambda rows: rows))
+    for old in (h, stored):
+        release(old)
+    packed.release()
+    sweep(spark)
     return docs, terms, losses
