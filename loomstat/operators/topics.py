@@ -427,7 +427,8 @@ def text_clusters_em(
     """Cluster documents by expectation-maximisation on their leading SVD
     scores of IDF weights; describe each cluster by the terms whose mean
     weight is most above the corpus mean."""
-    weights = cut_lineage(doc_weights(docs, key, text, min_df=min_df, **analysis))
+    # Counted again for the terms of the clusters: stored, the long table takes several times the bytes of the texts.
+    weights = doc_weights(docs, key, text, min_df=min_df, **analysis)
     # Scores that are off by a thousandth of the first direction's length place documents alike.
     found = topics_svd(weights, key, dims, tol=1e-3)
     # Documents without a kept term have no row in the factor and score zero.

@@ -81,3 +81,12 @@ def test_small_statistics_leave_counts_where_they_are(spark, monkeypatch):
     columns = ["id", "term", "tf", "total", "df"]
     for other in by_term:
         assert other.select(columns).orderBy(order).collect() == kept.select(columns).orderBy(order).collect()
+
+
+def test_text_clusters_do_not_store_the_long_table(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"{'red blue' if i % 2 else 'oak elm'} w{'abc'[i % 3]}") for i in range(24)], "id long, text string")
+    stored, cut_lineage = [], topics.cut_lineage
+    monkeypatch.setattr(topics, "cut_lineage", lambda df, **how: (stored.append(df.columns), cut_lineage(df, **how))[1])
+    found = topics.text_clusters_em(docs, "id", k=2, min_df=1, dims=2, n_terms=2, max_iter=2)
+    assert ["id", "term", "value"] not in stored
+    assert found.terms.count() == 4 and found.docs.count() == 24
